@@ -104,6 +104,12 @@ def quantiles(rows: DataFrame, value: str, probs: dict[str, float], groups: Sequ
     return _pick_quantiles(stored_in_order(values, [*groups, value], "values"), value, probs, groups)
 
 
+def weighted_quantiles(values: DataFrame, value: str, count: str, probs: dict[str, float]) -> DataFrame:
+    """As ``quantiles``, from rows that already carry how often each value occurs."""
+    counted = values.filter(F.col(value).isNotNull()).select(value, F.col(count).alias("n"))
+    return _pick_quantiles(stored_in_order(counted, [value], "values"), value, probs, ())
+
+
 def describe(
     rows: DataFrame, value: str, groups: Sequence[str] = (), probs: dict[str, float] | None = None
 ) -> DataFrame:
