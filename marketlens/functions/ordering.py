@@ -72,30 +72,35 @@ def running_totals(
     )
 
 
-def _pick_quantiles(placed: DataFrame, value: str, probs: dict[str, float], groups: Sequence[str]) -> DataFrame:
-    """Quantiles from an ordered table of (groups, value, n). Only files holding a wanted
-    position are sorted; the others contribute a count."""
-    offsets = _offsets(placed, groups, ["n"])
+def _position(p: float) -> Column:
+    return (F.col("total_n") - 1) * F.lit(float(p))
 
-    def position(p: float) -> Column:
-        return (F.col("total_n") - 1) * F.lit(float(p))
 
-    wanted = F.lit(False)
-    for p in probs.values():
-        for pos in (F.floor(position(p)), F.ceil(position(p))):
-            wanted = wanted | ((pos >= F.col("_off_n")) & (pos < F.col("_off_n") + F.col("_in_n")))
-    hit = _join_offsets(placed, offsets.filter(wanted), groups).withColumn("_at", _before("n", groups, [value]))
+def ranked_quantiles(ranked: DataFrame, value: str, probs: dict[str, float], groups: Sequence[str] = ()) -> DataFrame:
+    """Quantiles from (groups, value, n, before_n, total_n) rows, as ``running_totals`` gives."""
 
     def at(pos: Column) -> Column:
-        inside = (pos >= F.col("_at")) & (pos < F.col("_at") + F.col("n"))
+        inside = (pos >= F.col("before_n")) & (pos < F.col("before_n") + F.col("n"))
         return F.max(F.when(inside, dbl(value)))
 
     aggs, outs = [], []
     for name, p in probs.items():
-        aggs += [at(F.floor(position(p))).alias(f"_lo_{name}"), at(F.ceil(position(p))).alias(f"_hi_{name}")]
-        frac = position(p) - F.floor(position(p))
+        pos = _position(p)
+        aggs += [at(F.floor(pos)).alias(f"_lo_{name}"), at(F.ceil(pos)).alias(f"_hi_{name}")]
+        frac = pos - F.floor(pos)
         outs.append((F.col(f"_lo_{name}") * (1.0 - frac) + F.col(f"_hi_{name}") * frac).alias(name))
-    return hit.groupBy(*groups).agg(F.max("total_n").alias("total_n"), *aggs).select(*groups, *outs)
+    return ranked.groupBy(*groups).agg(F.max("total_n").alias("total_n"), *aggs).select(*groups, *outs)
+
+
+def _pick_quantiles(placed: DataFrame, value: str, probs: dict[str, float], groups: Sequence[str]) -> DataFrame:
+    """Quantiles from an ordered table of (groups, value, n). Only files holding a wanted
+    position are sorted; the others contribute a count."""
+    wanted = F.lit(False)
+    for p in probs.values():
+        for pos in (F.floor(_position(p)), F.ceil(_position(p))):
+            wanted = wanted | ((pos >= F.col("_off_n")) & (pos < F.col("_off_n") + F.col("_in_n")))
+    hit = _join_offsets(placed, _offsets(placed, groups, ["n"]).filter(wanted), groups)
+    return ranked_quantiles(hit.withColumn("before_n", _before("n", groups, [value])), value, probs, groups)
 
 
 def quantiles(rows: DataFrame, value: str, probs: dict[str, float], groups: Sequence[str] = ()) -> DataFrame:
