@@ -10,6 +10,10 @@ from marketlens.model import PIPELINE_DATASETS, RULES
 from marketlens.sources.market import Market
 
 
+# Datasets whose quoted values may hold line breaks. Only these give up file splitting.
+MULTILINE = {"reviews"}
+
+
 class ExtractionError(RuntimeError):
     """A raw file is absent, unreadable, or lacks required columns."""
 
@@ -60,7 +64,7 @@ def read_csv(spark: SparkSession, path: str, dataset: str | None = None, encodin
     raw = (
         spark.read.option("header", True)
         .option("encoding", encoding)
-        .option("multiLine", True)
+        .option("multiLine", name in MULTILINE)
         .option("escape", '"')
         .option("inferSchema", False)
         .csv(path)

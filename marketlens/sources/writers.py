@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -76,10 +76,20 @@ def _load_row(spark: SparkSession, name: str, attempted: int, inserted: int, ski
     )
 
 
-def load_batch(tables: Mapping[str, DataFrame], base: str) -> DataFrame:
-    """Load in foreign-key order, then count what has no target table."""
+def load_batch(
+    tables: Mapping[str, DataFrame], base: str, on_loaded: Callable[[str], None] | None = None
+) -> DataFrame:
+    """Load in foreign-key order, then count what has no target table.
+
+    ``on_loaded`` is called with each dataset's name once it is loaded and verified.
+    """
     names = [n for n in LOAD_ORDER if n in tables] + [n for n in tables if n not in CURATED]
-    return reduce(DataFrame.unionByName, [load_table(n, tables[n], base) for n in names])
+    rows = []
+    for n in names:
+        rows.append(load_table(n, tables[n], base))
+        if on_loaded:
+            on_loaded(n)
+    return reduce(DataFrame.unionByName, rows)
 
 
 def load_jdbc(name: str, df: DataFrame, url: str, properties: Mapping[str, str], batch_size: int = 10_000) -> None:

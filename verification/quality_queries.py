@@ -33,14 +33,15 @@ def union_reports(frames):
 # ---- schema checks
 
 
-def schema_check(kind: str, finder):
+def schema_check(finder):
     def query(m):
         tables = raw_tables(m)
         rows = [
-            tables[n]
-            .select(F.lit(n).alias("dataset"))
-            .limit(1)
-            .select("dataset", F.lit(len(finder(tables[n], RULES[n]))).cast("long").alias("violations"))
+            tables[n].agg(
+                F.lit(n).alias("dataset"),
+                F.count(F.lit(1)).alias("rows"),
+                F.lit(len(finder(tables[n], RULES[n]))).cast("long").alias("violations"),
+            )
             for n in PIPELINE_DATASETS
         ]
         return union_reports(rows)
@@ -48,14 +49,14 @@ def schema_check(kind: str, finder):
     return query
 
 
-def _schema_sql(counts: dict[str, int]) -> str:
-    rows = ", ".join(f"('{n}', CAST({counts.get(n, 0)} AS BIGINT))" for n in PIPELINE_DATASETS)
-    return f"SELECT * FROM (VALUES {rows}) t(dataset, violations)"
-
-
-register("dq_required_cols", schema_check("required", Q.missing_columns), _schema_sql({}))
-register("dq_unexpected_cols", schema_check("unexpected", Q.unexpected_columns), _schema_sql({}))
-register("dq_dtypes", schema_check("types", Q.type_mismatches))
+_no_violation = with_roles(
+    "\nUNION ALL ".join(
+        f"SELECT '{n}' AS dataset, count(*) AS rows, CAST(0 AS BIGINT) AS violations FROM {sql_name(n)}" for n in PIPELINE_DATASETS
+    )
+)
+register("dq_required_cols", schema_check(Q.missing_columns), _no_violation)
+register("dq_unexpected_cols", schema_check(Q.unexpected_columns), _no_violation)
+register("dq_dtypes", schema_check(Q.type_mismatches))
 
 
 # ---- keys
@@ -284,12 +285,37 @@ register(
     ),
 )
 register("dq_report", lambda m: Q.quality_report("orders", m.orders, raw_tables(m)))
-register("dq_batch", lambda m: Q.quality_summary(Q.quality_batch(raw_tables(m))))
+# What can fail in the given tables: customer states, repeated item and payment keys (FAILED),
+# order date sequences and untranslated categories (WARNING).
+_status = {
+    "customers": ("FAILED", f"SELECT count(*) FROM customers WHERE {INVALID['customers']}"),
+    "order_items": ("FAILED", "SELECT count(*) FROM (SELECT 1 FROM order_items GROUP BY order_id, order_item_id HAVING count(*) > 1)"),
+    "payments": ("FAILED", "SELECT count(*) FROM (SELECT 1 FROM payments GROUP BY order_id, payment_sequential HAVING count(*) > 1)"),
+    "orders": ("WARNING", f"SELECT count(*) FROM m_orders WHERE {INVALID['orders']}"),
+    "products": (
+        "WARNING",
+        "SELECT count(*) FROM products WHERE product_category_name NOT IN (SELECT product_category_name FROM translations)",
+    ),
+    "reviews": ("FAILED", "SELECT count(*) FROM reviews WHERE review_score NOT BETWEEN 1 AND 5"),
+    "translations": ("FAILED", "SELECT count(*) FROM translations WHERE product_category_name IS NULL"),
+}
+STATUS_SQL = "\nUNION ALL ".join(
+    f"SELECT '{n}' AS dataset, CASE WHEN ({q}) > 0 THEN '{bad}' ELSE 'PASSED' END AS status" for n, (bad, q) in _status.items()
+)
+register(
+    "dq_batch",
+    lambda m: Q.quality_summary(Q.quality_batch(raw_tables(m))).select("dataset", "status"),
+    with_roles(STATUS_SQL),
+)
 register(
     "dq_circuit_breaker",
     lambda m: Q.overall_status(Q.quality_summary(Q.quality_batch(raw_tables(m)))),
-    """SELECT 'FAILED' AS overall_status, CAST(7 AS BIGINT) AS total_datasets, CAST(4 AS BIGINT) AS passed_datasets,
-  CAST(3 AS BIGINT) AS failed_datasets, TRUE AS can_continue""",
+    with_roles(
+        f"""SELECT CASE WHEN bool_or(status = 'FAILED') THEN 'FAILED' WHEN bool_or(status = 'WARNING') THEN 'WARNING' ELSE 'PASSED' END AS overall_status,
+  count(*) AS total_datasets, {count_if("status <> 'FAILED'")} AS passed_datasets, {count_if("status = 'FAILED'")} AS failed_datasets,
+  (SELECT count(*) FROM m_orders WHERE order_id IS NULL) + (SELECT count(*) FROM customers WHERE customer_id IS NULL) = 0 AS can_continue
+FROM ({STATUS_SQL})"""
+    ),
 )
 register(
     "dq_quarantine",
