@@ -174,17 +174,6 @@ register("sink_batch_ordered", _loaded(PIPELINE_DATASETS), _load_sql(PIPELINE_DA
 
 # ---- pipeline
 
-VALIDATION = {
-    "customers": "FAILED",
-    "orders": "WARNING",
-    "order_items": "FAILED",
-    "payments": "FAILED",
-    "products": "WARNING",
-    "reviews": "PASSED",
-    "translations": "PASSED",
-}
-
-
 def _run_all(m):
     spark = m.orders.sparkSession
     base = folder(spark)

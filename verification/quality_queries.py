@@ -286,7 +286,8 @@ register(
 )
 register("dq_report", lambda m: Q.quality_report("orders", m.orders, raw_tables(m)))
 # What can fail in the given tables: customer states, repeated item and payment keys (FAILED),
-# order date sequences and untranslated categories (WARNING).
+# order date sequences and untranslated categories (WARNING). Numeric ids where the rules say
+# text are a type mismatch, which alone is a WARNING: every dataset but translations has one.
 _status = {
     "customers": ("FAILED", f"SELECT count(*) FROM customers WHERE {INVALID['customers']}"),
     "order_items": ("FAILED", "SELECT count(*) FROM (SELECT 1 FROM order_items GROUP BY order_id, order_item_id HAVING count(*) > 1)"),
@@ -300,7 +301,8 @@ _status = {
     "translations": ("FAILED", "SELECT count(*) FROM translations WHERE product_category_name IS NULL"),
 }
 STATUS_SQL = "\nUNION ALL ".join(
-    f"SELECT '{n}' AS dataset, CASE WHEN ({q}) > 0 THEN '{bad}' ELSE 'PASSED' END AS status" for n, (bad, q) in _status.items()
+    f"SELECT '{n}' AS dataset, CASE WHEN ({q}) > 0 THEN '{bad}' ELSE '{'PASSED' if n == 'translations' else 'WARNING'}' END AS status"
+    for n, (bad, q) in _status.items()
 )
 register(
     "dq_batch",
