@@ -15,7 +15,7 @@ from marketlens.functions.exprs import ratio
 from marketlens.functions.ordering import quantiles
 from marketlens.ml.encoding import SEED, chronological_split, encode, feature_names, fit_encoder, importances
 from marketlens.operators.reporting import top_rows
-from marketlens.sources.workspace import stored
+from marketlens.sources.workspace import concurrently, stored
 
 TARGET = "target_future_clv"
 ZERO, MEAN = "Zero-Spend Baseline ($0 Naive)", "Mean-Spend Baseline (Train Mean)"
@@ -75,12 +75,14 @@ def fit_models(train: DataFrame) -> dict[str, Regressor | Hurdle]:
     n = train.count()
     forest = RandomForestRegressor(labelCol=TARGET, numTrees=100, maxDepth=6, featureSubsetStrategy="all", seed=SEED)
     boosted = GBTRegressor(labelCol=TARGET, maxIter=50, maxDepth=3, seed=SEED)
-    return {
-        "Ridge Regression": Regressor(ridge(n).fit(train)),
-        "Random Forest Regressor": Regressor(forest.fit(train)),
-        "Gradient Boosting Regressor": Regressor(boosted.fit(train)),
-        "Hurdle Model (Two-Stage GBDT+Ridge)": fit_hurdle(train),
-    }
+    return concurrently(
+        {
+            "Ridge Regression": lambda: Regressor(ridge(n).fit(train)),
+            "Random Forest Regressor": lambda: Regressor(forest.fit(train)),
+            "Gradient Boosting Regressor": lambda: Regressor(boosted.fit(train)),
+            "Hurdle Model (Two-Stage GBDT+Ridge)": lambda: fit_hurdle(train),
+        }
+    )
 
 
 # ---- evaluation ----------------------------------------------------------------------------
@@ -149,11 +151,7 @@ def train_clv(features: DataFrame, split_date: str) -> ClvRun:
     features = stored(features, "clv-features")
     train, test = chronological_split(features, split_date)
     encoder = fit_encoder(train)
-    encoded = encode(encoder, train).persist()
-    try:
-        models = fit_models(encoded)
-    finally:
-        encoded.unpersist()
+    models = fit_models(stored(encode(encoder, train), "clv-train"))
     scored = encode(encoder, with_baselines(train, test))
     columns = {ZERO: "p_zero", MEAN: "p_mean"}
     for i, (name, model) in enumerate(models.items()):

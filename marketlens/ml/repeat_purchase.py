@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from marketlens.functions.exprs import count_if, dbl, ratio
 from marketlens.functions.ordering import quantiles, running_totals
 from marketlens.ml.encoding import SEED, chronological_split, encode, feature_names, fit_encoder, importances
-from marketlens.sources.workspace import stored
+from marketlens.sources.workspace import concurrently, stored
 
 LABEL = "target_repeat_buyer"
 THRESHOLDS = [round(0.05 * i, 2) for i in range(1, 11)]
@@ -192,35 +193,32 @@ def train_repeat(features: DataFrame, split_date: str) -> RepeatRun:
     features = stored(features, "repeat-features")
     train, test = chronological_split(features, split_date)
     encoder = fit_encoder(train)
-    encoded = encode(encoder, train)
+    encoded = stored(encode(encoder, train), "repeat-encoded")
     part, held = stratified_split(encoded)
-    part, full = class_weights(part).persist(), class_weights(encoded).persist()
-    tested = encode(encoder, test)
+    part, full = stored(class_weights(part), "repeat-part"), stored(class_weights(encoded), "repeat-train")
+    tested = stored(encode(encoder, test), "repeat-test")
     part_n, full_n = part.count(), full.count()
-    models, frames, thresholds = {}, [], {}
-    try:
-        trial = estimators(part_n)
-        for name, final in estimators(full_n).items():
-            chosen = best_threshold(scored(trial[name].fit(part), held)).first()  # one row
-            thresholds[name] = chosen["optimal_threshold"]
-            models[name] = final.fit(full)
-            rows = stored(scored(models[name], tested).select("score", LABEL), "test-scores")
-            lift = lift_top5(rows).withColumnsRenamed({c: f"top5_{c}" for c in ("total_count", "true_positives", "false_positives", "precision", "precision_lift")})
-            metrics = all_metrics(rows, thresholds[name]).crossJoin(F.broadcast(lift))  # one-row frames
-            frames.append(
-                metrics.select(
-                    F.lit(name).alias("model"),
-                    F.lit(thresholds[name]).alias("optimal_threshold"),
-                    F.lit(chosen["val_f1"]).cast("double").alias("val_f1"),
-                    "*",
-                )
-            )
-    finally:
-        part.unpersist()
-        full.unpersist()
-    comparison = frames[0]
-    for f in frames[1:]:
-        comparison = comparison.unionByName(f)
+    trial, final = estimators(part_n), estimators(full_n)
+
+    def fit_one(name: str) -> tuple[object, float, DataFrame]:
+        chosen = best_threshold(scored(trial[name].fit(part), held)).first()  # one row
+        threshold, model = chosen["optimal_threshold"], final[name].fit(full)
+        rows = stored(scored(model, tested).select("score", LABEL), "test-scores")
+        lift = lift_top5(rows)
+        lift = lift.withColumnsRenamed({c: f"top5_{c}" for c in lift.columns})
+        metrics = all_metrics(rows, threshold).crossJoin(F.broadcast(lift))  # one-row frames
+        named = metrics.select(
+            F.lit(name).alias("model"),
+            F.lit(threshold).alias("optimal_threshold"),
+            F.lit(chosen["val_f1"]).cast("double").alias("val_f1"),
+            "*",
+        )
+        return model, threshold, named
+
+    fitted = concurrently({name: (lambda n=name: fit_one(n)) for name in final})
+    models = {name: model for name, (model, _, _) in fitted.items()}
+    thresholds = {name: threshold for name, (_, threshold, _) in fitted.items()}
+    comparison = reduce(DataFrame.unionByName, [frame for _, _, frame in fitted.values()])
     comparison = stored(comparison, "repeat-comparison")
     quality = {r["model"]: r["pr_auc"] for r in comparison.collect()}  # one row per model
     best = max(models, key=lambda name: quality[name])

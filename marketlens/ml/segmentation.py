@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -15,7 +16,7 @@ from marketlens.functions.exprs import pct
 from marketlens.functions.ordering import quantiles
 from marketlens.ml.encoding import SEED
 from marketlens.operators.features import most_frequent
-from marketlens.sources.workspace import stored
+from marketlens.sources.workspace import concurrently, stored
 
 LOGS = {"log_recency": "recency_days", "log_frequency": "frequency_orders", "log_monetary": "monetary_value"}
 SCALED = ["z_recency", "z_frequency", "z_monetary"]
@@ -82,20 +83,16 @@ def cluster_quality(assigned: DataFrame) -> DataFrame:
 
 def evaluate_k(scaled: DataFrame, low: int = 2, high: int = 6) -> DataFrame:
     """Cluster quality for each k. Silhouette is the squared-Euclidean one over all rows."""
-    vectors = with_vector(scaled).persist()
-    try:
-        parts = []
-        for k in range(low, high + 1):
-            assigned = fit_kmeans(vectors, k).transform(vectors)
-            silhouette = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette").evaluate(assigned)
-            quality = cluster_quality(assigned)
-            parts.append(quality.select(F.lit(k).cast("long").alias("k"), F.lit(round(silhouette, 4)).alias("silhouette_score"), "*"))
-    finally:
-        vectors.unpersist()
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    vectors = stored(with_vector(scaled), "vectors")
+
+    def one(k: int) -> DataFrame:
+        assigned = fit_kmeans(vectors, k).transform(vectors)
+        silhouette = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette").evaluate(assigned)
+        named = [F.lit(k).cast("long").alias("k"), F.lit(round(silhouette, 4)).alias("silhouette_score")]
+        return cluster_quality(assigned).select(*named, "*")
+
+    parts = concurrently({str(k): (lambda k=k: one(k)) for k in range(low, high + 1)})
+    return reduce(DataFrame.unionByName, parts.values())
 
 
 def persona(recency: Column, frequency: Column, revenue: Column) -> Column:
@@ -144,12 +141,9 @@ class Segmentation:
 
 def segment(features: DataFrame, k: int = CLUSTERS) -> Segmentation:
     """K-means with ids ordered by mean recency, then revenue, so labels are stable."""
-    vectors = with_vector(preprocess(features)).persist()
-    try:
-        model = fit_kmeans(vectors, k)
-        assigned = stored(model.transform(vectors).drop("features"), "segments")
-    finally:
-        vectors.unpersist()
+    vectors = stored(with_vector(preprocess(features)), "vectors")
+    model = fit_kmeans(vectors, k)
+    assigned = stored(model.transform(vectors).drop("features"), "segments")
     order = assigned.groupBy("cluster").agg(F.avg("recency_days").alias("r"), F.avg("total_revenue").alias("m"))
     ids = order.select(
         "cluster", (F.row_number().over(Window.orderBy("r", "m", "cluster")) - 1).cast("long").alias("cluster_id")

@@ -216,4 +216,5 @@ CURATED: dict[str, dict[str, str]] = {
     ),
 }
 
-LOAD_ORDER = ("customers", "products", "orders", "order_items", "payments", "reviews")
+# Parents before children, so foreign keys hold at every moment.
+LOAD_LEVELS = (("customers", "products"), ("orders",), ("order_items", "payments", "reviews"))

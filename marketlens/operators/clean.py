@@ -7,7 +7,7 @@ from one aggregation over the raw rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -227,12 +227,18 @@ def transform_dataset(name: str, df: DataFrame, context: Mapping[str, DataFrame]
     return out
 
 
-def transform_batch(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Dependency order; later datasets see the transformed versions of earlier ones."""
+def transform_batch(
+    tables: Mapping[str, DataFrame], keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """Dependency order; later datasets see the transformed versions of earlier ones.
+
+    ``keep`` may store the items, which feed both their own table and the orders.
+    """
     done: dict[str, DataFrame] = {}
     for name in TRANSFORM_ORDER:
         if name in tables:
-            done[name] = transform_dataset(name, tables[name], {**tables, **done})
+            out = transform_dataset(name, tables[name], {**tables, **done})
+            done[name] = keep(out, name) if keep and name == "order_items" else out
     return done
 
 

@@ -170,16 +170,21 @@ def translation_coverage(products: DataFrame) -> DataFrame:
     name, english = F.col("product_category_name"), F.col("category_name_english")
     total = F.countDistinct(name)
     translated = count_if(name.isNotNull() & english.isNotNull())
-    missing = F.collect_set(F.when(english.isNull(), name))  # category names, not products
+    untranslated = F.countDistinct(F.when(english.isNull(), name))
     return per_pair.agg(
         total.alias("total_categories"),
         translated.alias("categories_with_translation"),
-        F.size(missing).cast("long").alias("missing_translations_count"),
-        F.array_join(F.sort_array(missing), ",").alias("missing_translation_categories"),
+        untranslated.alias("missing_translations_count"),
         pct(translated, total).alias("category_coverage_percent"),
         pct(F.sum(F.when(english.isNotNull(), F.col("n")).otherwise(0)), F.sum("n")).alias("product_coverage_percent"),
     )
 
 
+def missing_translations(products: DataFrame) -> DataFrame:
+    """The categories without a translation, with their products."""
+    gap = F.col("product_category_name").isNotNull() & F.col("category_name_english").isNull()
+    return products.filter(gap).groupBy("product_category_name").agg(F.count(F.lit(1)).alias("products"))
+
+
 def effective_categories(products: DataFrame) -> DataFrame:
     return with_category(products).select("product_id", "effective_category")

@@ -22,13 +22,13 @@ from marketlens.operators.quality import (
     require_no_critical,
 )
 from marketlens.plans.manifest import Manifest
-from marketlens.sources.workspace import stored
+from marketlens.sources.workspace import concurrently, stored
 from marketlens.sources.writers import load_batch, load_table
 
 
 def staged(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Raw tables as Parquet: the checks and the transformation each scan only their columns."""
-    return {n: stored(tables[n], f"raw-{n}") for n in PIPELINE_DATASETS if n in tables}
+    return concurrently({n: (lambda n=n: stored(tables[n], f"raw-{n}")) for n in PIPELINE_DATASETS if n in tables})
 
 
 def _metrics(spark: SparkSession, raw: Mapping[str, DataFrame], summary: DataFrame, loads: DataFrame | None) -> DataFrame:
@@ -93,7 +93,7 @@ def run_all(
         if manifest:
             manifest.record("all", "VALIDATE", "FAILED")
         raise
-    ready = transform_batch(raw)
+    ready = transform_batch(raw, keep=stored)
     todo = {n: df for n, df in ready.items() if n not in done}
     loads = load_batch(todo, target, on_loaded=(lambda n: manifest.record(n, "LOAD", "SUCCESS")) if manifest else None) if todo else None
     metrics = stored(_metrics(spark, raw, summary, loads), "metrics")

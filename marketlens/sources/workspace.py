@@ -6,14 +6,19 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 _local_dir: str | None = None
 
+T = TypeVar("T")
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only for local sessions."""
@@ -50,3 +55,13 @@ def stored_in_order(df: DataFrame, keys: Sequence[Column | str], name: str) -> D
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     return table.select("*", F.col("_metadata.file_name").alias("_file"))
+
+
+def concurrently(jobs: Mapping[str, Callable[[], T]], width: int = 8) -> dict[str, T]:
+    """Run independent Spark actions from a few driver threads, so small jobs overlap.
+
+    The first failure is raised after the started jobs have ended.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(width, len(jobs)))) as pool:
+        running = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
+    return {name: future.result() for name, future in running.items()}

@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.model import CURATED, LOAD_ORDER
+from marketlens.model import CURATED, LOAD_LEVELS
+from marketlens.sources.workspace import concurrently
 
 
 class LoadError(RuntimeError):
@@ -79,16 +80,22 @@ def _load_row(spark: SparkSession, name: str, attempted: int, inserted: int, ski
 def load_batch(
     tables: Mapping[str, DataFrame], base: str, on_loaded: Callable[[str], None] | None = None
 ) -> DataFrame:
-    """Load in foreign-key order, then count what has no target table.
+    """Load parents before children; tables of one level load side by side.
 
-    ``on_loaded`` is called with each dataset's name once it is loaded and verified.
+    What has no target table is counted last. ``on_loaded`` is called with each dataset's
+    name once it is loaded and verified.
     """
-    names = [n for n in LOAD_ORDER if n in tables] + [n for n in tables if n not in CURATED]
-    rows = []
-    for n in names:
-        rows.append(load_table(n, tables[n], base))
+
+    def load(name: str) -> DataFrame:
+        row = load_table(name, tables[name], base)
         if on_loaded:
-            on_loaded(n)
+            on_loaded(name)
+        return row
+
+    rows: list[DataFrame] = []
+    for level in [*LOAD_LEVELS, tuple(n for n in tables if n not in CURATED)]:
+        jobs = {n: (lambda n=n: load(n)) for n in level if n in tables}
+        rows += concurrently(jobs).values()
     return reduce(DataFrame.unionByName, rows)
 
 

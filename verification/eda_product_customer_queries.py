@@ -235,8 +235,14 @@ register(
         f"""SELECT count(DISTINCT product_category_name) AS total_categories,
   count(DISTINCT CASE WHEN category_name_english IS NOT NULL THEN product_category_name END) AS categories_with_translation,
   count(DISTINCT CASE WHEN category_name_english IS NULL THEN product_category_name END) AS missing_translations_count,
-  (SELECT string_agg(c, ',' ORDER BY c) FROM (SELECT DISTINCT product_category_name AS c FROM c_products WHERE category_name_english IS NULL)) AS missing_translation_categories,
   {pct("count(DISTINCT CASE WHEN category_name_english IS NOT NULL THEN product_category_name END)", "count(DISTINCT product_category_name)")} AS category_coverage_percent,
   {pct("count(category_name_english)", "count(*)")} AS product_coverage_percent FROM c_products"""
     ),
 )
+register(
+    "eda_missing_translations",
+    lambda m: P.missing_translations(m.curated().products),
+    with_roles(
+        "SELECT product_category_name, count(*) AS products FROM c_products WHERE category_name_english IS NULL GROUP BY 1"
+    ),
+)
