@@ -14,6 +14,10 @@ from marketlens.sources.market import Market
 MULTILINE = {"reviews"}
 
 
+# Names Spark's reader does not know.
+ENCODINGS = {"latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "utf8": "UTF-8"}
+
+
 class ExtractionError(RuntimeError):
     """A raw file is absent, unreadable, or lacks required columns."""
 
@@ -45,11 +49,6 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def csv_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
-    """Column names of a CSV file or folder, from its first line alone."""
-    return spark.read.option("header", True).option("encoding", encoding).csv(path).columns
-
-
 def read_csv(spark: SparkSession, path: str, dataset: str | None = None, encoding: str = "UTF-8") -> DataFrame:
     """Raw text columns of one dataset, in the order of the file's header.
 
@@ -63,7 +62,7 @@ def read_csv(spark: SparkSession, path: str, dataset: str | None = None, encodin
         raise ExtractionError(f"raw file not found: {path}")
     raw = (
         spark.read.option("header", True)
-        .option("encoding", encoding)
+        .option("encoding", ENCODINGS.get(encoding.lower(), encoding))
         .option("multiLine", name in MULTILINE)
         .option("escape", '"')
         .option("inferSchema", False)

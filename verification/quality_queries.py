@@ -56,7 +56,18 @@ _no_violation = with_roles(
 )
 register("dq_required_cols", schema_check(Q.missing_columns), _no_violation)
 register("dq_unexpected_cols", schema_check(Q.unexpected_columns), _no_violation)
-register("dq_dtypes", schema_check(Q.type_mismatches))
+
+# Numeric ids where the rules say text, and dates that are already timestamps.
+MISMATCHES = {"customers": 2, "orders": 7, "order_items": 4, "products": 1, "payments": 1, "reviews": 4, "translations": 0}
+register(
+    "dq_dtypes",
+    schema_check(Q.type_mismatches),
+    with_roles(
+        "\nUNION ALL ".join(
+            f"SELECT '{n}' AS dataset, count(*) AS rows, CAST({k} AS BIGINT) AS violations FROM {sql_name(n)}" for n, k in MISMATCHES.items()
+        )
+    ),
+)
 
 
 # ---- keys
@@ -284,7 +295,33 @@ register(
         )
     ),
 )
-register("dq_report", lambda m: Q.quality_report("orders", m.orders, raw_tables(m)))
+_REPORT = [
+    ("required_columns", "CRITICAL", "0"),
+    ("unexpected_columns", "WARNING", "0"),
+    ("column_types", "INFO", str(MISMATCHES["orders"])),
+    ("primary_key_nulls", "CRITICAL", "SELECT count(*) FROM m_orders WHERE order_id IS NULL"),
+    ("primary_key_uniqueness", "ERROR", "SELECT count(*) - count(DISTINCT order_id) FROM m_orders"),
+    ("nullable_fields", "ERROR", "SELECT " + " + ".join(count_if(f"{c} IS NULL") for c in RULES["orders"].required) + " FROM m_orders"),
+    ("enum_fields", "ERROR", f"SELECT {count_if(f'order_status NOT IN ({quoted(Q.ORDER_STATUSES)})')} FROM m_orders"),
+    ("numeric_constraints", "ERROR", "0"),
+    ("date_fields", "ERROR", "0"),
+    ("orders_status", "ERROR", f"SELECT {count_if(DOMAIN['dq_order_status'][2][0])} FROM m_orders"),
+    ("orders_timestamp_sequence", "WARNING", "SELECT " + " + ".join(count_if(c) for c in SEQUENCE) + " FROM m_orders"),
+    ("orders_customer_foreign_key", "ERROR", "SELECT count(*) FROM m_orders WHERE customer_id NOT IN (SELECT customer_id FROM customers)"),
+]
+register(
+    "dq_report",
+    lambda m: Q.quality_report("orders", m.orders, raw_tables(m)),
+    with_roles(
+        """SELECT dataset, check_order, "check", violations, CASE WHEN violations = 0 THEN 'INFO' ELSE sev END AS severity,
+  CASE WHEN violations = 0 THEN 'PASSED' WHEN sev IN ('INFO', 'WARNING') THEN 'WARNING' ELSE 'FAILED' END AS status FROM ("""
+        + "\nUNION ALL ".join(
+            f"SELECT 'orders' AS dataset, CAST({i + 1} AS BIGINT) AS check_order, '{c}' AS \"check\", '{sev}' AS sev, CAST(({q if q.startswith('SELECT') else 'SELECT ' + q}) AS BIGINT) AS violations"
+            for i, (c, sev, q) in enumerate(_REPORT)
+        )
+        + ")"
+    ),
+)
 # What can fail in the given tables: customer states, repeated item and payment keys (FAILED),
 # order date sequences and untranslated categories (WARNING). Numeric ids where the rules say
 # text are a type mismatch, which alone is a WARNING: every dataset but translations has one.
