@@ -86,19 +86,25 @@ def monthly_growth(customers: DataFrame, orders: DataFrame, payments: DataFrame)
     per_order = payments.groupBy("order_id").agg(
         F.sum(money("payment_value")).alias("paid"), F.count("payment_value").alias("paid_rows")
     )
-    monthly = (
+    # Month and person first: one distinct count remains, so the rows are not expanded for two.
+    per_person = (
         orders.filter(delivered())
         .select("order_id", "customer_id", year_month("order_purchase_timestamp").alias("year_month"))
         .join(customers.select("customer_id", "customer_unique_id"), "customer_id")
         .join(per_order, "order_id")
-        .groupBy("year_month")
+        .groupBy("year_month", "customer_unique_id")
         .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.countDistinct("customer_unique_id").alias("unique_buyers"),
-            F.sum("paid").alias("exact"),
-            (dbl(F.sum("paid")) / F.sum("paid_rows")).alias("aov"),
+            F.countDistinct("order_id").alias("orders"),
+            F.sum("paid").alias("paid"),
+            F.sum("paid_rows").alias("paid_rows"),
         )
     )
+    monthly = per_person.groupBy("year_month").agg(
+        F.sum("orders").alias("total_orders"),
+        F.count("customer_unique_id").alias("unique_buyers"),
+        F.sum("paid").alias("exact"),
+        (dbl(F.sum("paid")) / F.sum("paid_rows")).alias("aov"),
+    )
     by_month = Window.orderBy("year_month")  # one row per calendar month
     previous = dbl(F.lag("exact").over(by_month))
     running = F.sum("exact").over(by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow))
