@@ -42,7 +42,7 @@ def chi_square_tail(x: Column, freedom: int) -> Column:
     while a < freedom / 2.0:
         tail = tail + F.exp(-y + a * F.log(y) - math.lgamma(a + 1))
         a += 1
-    return F.when(x > 0, tail).otherwise(1.0)
+    return F.when(x > 0, tail).when(x.isNotNull(), 1.0)
 
 
 def _ranked(rows: DataFrame, value: str, groups: dict[str, Column]) -> DataFrame:
@@ -61,7 +61,10 @@ def _tie_sum() -> Column:
 
 def mann_whitney(rows: DataFrame, value: str, first: Column, alternative: str = "two-sided") -> DataFrame:
     """U of the rows where ``first`` holds against the others (normal approximation, tie and
-    continuity corrected), and the rank-biserial effect size 1 - 2U / (n1 n2)."""
+    continuity corrected), and the rank-biserial effect size 1 - 2U / (n1 n2).
+
+    With an empty side, or only one distinct value, nothing can differ: p is 1.
+    """
     ranked = _ranked(rows, value, {"in_first": first})
     v = dbl(value)
     one = ranked.agg(
@@ -75,34 +78,34 @@ def mann_whitney(rows: DataFrame, value: str, first: Column, alternative: str =
     n1, n2 = dbl("n1"), dbl("n2")
     u, n = F.col("u_statistic"), n1 + n2
     mean = n1 * n2 / 2.0
-    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("ties") / (n * (n - 1))))
+    sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
     one = one.withColumn("u_statistic", F.col("rank_sum") - n1 * (n1 + 1) / 2.0)
     if alternative == "less":
-        z = (n1 * n2 - u - mean - 0.5) / sigma
+        z = F.try_divide(n1 * n2 - u - mean - 0.5, sigma)
         p = normal_tail(F.col("z"))
     elif alternative == "two-sided":
-        z = (F.greatest(u, n1 * n2 - u) - mean - 0.5) / sigma
+        z = F.try_divide(F.greatest(u, n1 * n2 - u) - mean - 0.5, sigma)
         p = F.least(F.lit(1.0), 2.0 * normal_tail(F.col("z")))
     else:
         raise ValueError(f"unknown alternative: {alternative}")
     return (
         one.withColumn("z", z)
-        .withColumn("p_value", p)
+        .withColumn("p_value", F.coalesce(p, F.lit(1.0)))
         .select(
             "n1",
             "n2",
-            F.round(F.col("sum1") / n1, 2).alias("mean1"),
-            F.round(F.col("sum2") / n2, 2).alias("mean2"),
+            F.round(F.try_divide("sum1", n1), 2).alias("mean1"),
+            F.round(F.try_divide("sum2", n2), 2).alias("mean2"),
             u,
             "p_value",
-            F.round(1.0 - 2.0 * u / (n1 * n2), 4).alias("effect_size_rank_biserial"),
+            F.round(1.0 - F.try_divide(2.0 * u, n1 * n2), 4).alias("effect_size_rank_biserial"),
             (F.col("p_value") < 0.05).alias("statistically_significant"),
         )
     )
 
 
 def kruskal_wallis(rows: DataFrame, value: str, group: str, groups: Sequence[str]) -> DataFrame:
-    """H over the named groups (tie corrected) with its chi-square tail."""
+    """H over the named groups (tie corrected) with its chi-square tail; null if a group is empty."""
     names = {f"g{i}": F.col(group) == g for i, g in enumerate(groups)}
     ranked = _ranked(rows.filter(F.col(group).isin(list(groups))), value, names)
     one = ranked.agg(
@@ -110,13 +113,14 @@ def kruskal_wallis(rows: DataFrame, value: str, group: str, groups: Sequence[str
         _tie_sum().alias("ties"),
         *[F.sum(g).alias(f"n_{g}") for g in names],
         *[F.sum(F.col(g) * F.col("mid_rank")).alias(f"r_{g}") for g in names],
-        *[(F.sum(dbl(value) * F.col(g)) / F.sum(g)).alias(f"mean_{g}") for g in names],
+        *[F.try_divide(F.sum(dbl(value) * F.col(g)), F.sum(g)).alias(f"mean_{g}") for g in names],
     )
     n = dbl("n")
     spread = F.lit(0.0)
     for g in names:
-        spread = spread + F.col(f"r_{g}") * F.col(f"r_{g}") / F.col(f"n_{g}")
-    h = (12.0 / (n * (n + 1)) * spread - 3.0 * (n + 1)) / (1.0 - F.col("ties") / (n * n * n - n))
+        spread = spread + F.try_divide(F.col(f"r_{g}") * F.col(f"r_{g}"), F.col(f"n_{g}"))
+    untied = 1.0 - F.try_divide(F.col("ties"), n * n * n - n)
+    h = F.try_divide(F.try_divide(F.lit(12.0), n * (n + 1)) * spread - 3.0 * (n + 1), untied)
     return (
         one.withColumn("h_statistic", h)
         .withColumn("p_value", chi_square_tail(F.col("h_statistic"), len(groups) - 1))

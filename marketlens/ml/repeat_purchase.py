@@ -159,7 +159,7 @@ def lift_top5(rows: DataFrame) -> DataFrame:
         "true_positives",
         "false_positives",
         rate.alias("precision"),
-        F.round(ratio(rate, F.col("pos") / F.col("n")), 2).alias("precision_lift"),
+        F.round(ratio(rate, ratio(F.col("pos"), F.col("n"))), 2).alias("precision_lift"),
     )
 
 

@@ -116,7 +116,7 @@ def monthly_growth(customers: DataFrame, orders: DataFrame, payments: DataFrame)
         F.round("aov", 2).alias("monthly_aov"),
         F.round(dbl(running), 2).alias("cumulative_revenue"),
         F.round(
-            F.when(previous.isNull(), F.lit(0.0)).otherwise((dbl("exact") - previous) / previous * 100.0), 2
+            F.when(previous.isNull(), F.lit(0.0)).otherwise(F.try_divide(dbl("exact") - previous, previous) * 100.0), 2
         ).alias("mom_growth_pct"),
     )
 
@@ -173,7 +173,7 @@ def seller_pareto(order_items: DataFrame, sellers: DataFrame, orders: DataFrame)
     )
     rows = revenue.join(sellers.select("seller_id", "seller_state"), "seller_id")
     ranked = rank_rows(rows, "revenue", "seller_id")
-    share = dbl(F.col("before_value") + F.col("revenue")) / dbl("total_value")
+    share = F.try_divide(dbl(F.col("before_value") + F.col("revenue")), dbl("total_value"))
     return ranked.select(
         "seller_id",
         "seller_state",

@@ -68,3 +68,14 @@ def test_equal_groups_are_not_significant(spark):
     df = spark.createDataFrame([(float(i % 7), i % 2 == 0) for i in range(140)], "v double, first boolean")
     got = mann_whitney(df, "v", F.col("first"))
     assert got.first()["effect_size_rank_biserial"] == 0.0 and not got.first()["statistically_significant"]
+
+
+def test_degenerate_samples(spark):
+    same = spark.createDataFrame([(1.0, True), (1.0, False), (1.0, False)], "v double, first boolean")
+    got = mann_whitney(same, "v", F.col("first")).first()
+    assert (got["p_value"], got["effect_size_rank_biserial"]) == (1.0, 0.0)
+    lone = mann_whitney(same.filter("first"), "v", F.col("first")).first()
+    assert (lone["p_value"], lone["mean2"], lone["effect_size_rank_biserial"]) == (1.0, None, None)
+    groups = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "g string, v double")
+    got = kruskal_wallis(groups, "v", "g", ["a", "b", "c"]).first()
+    assert got["h_statistic"] is None and got["p_value"] is None
