@@ -123,13 +123,17 @@ def _pareto_cuts() -> dict[str, Column]:
 
 def pareto_customers(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     per_order = items.groupBy("order_id").agg(F.sum(money("price")).alias("price"))
-    revenue = (
+    per_customer = (
         orders.select("order_id", "customer_id")
         .join(per_order, "order_id", "left")
-        .join(customers.select("customer_id", "customer_unique_id"), "customer_id")
-        .groupBy("customer_unique_id")
+        .groupBy("customer_id")
         .agg(total("price").alias("revenue"))
     )
+    revenue = (
+        per_customer.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
+        .groupBy("customer_unique_id")
+        .agg(F.sum("revenue").alias("revenue"))
+    )
     return top_share(revenue, "revenue", _pareto_cuts()).withColumnsRenamed(
         {"entities": "total_customers", "total_value": "total_revenue"}
     )

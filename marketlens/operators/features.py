@@ -82,28 +82,59 @@ def most_frequent(n: str, value: str) -> Column:
 # ---- feature groups ------------------------------------------------------------------------
 
 
-def order_profile(joined: DataFrame) -> DataFrame:
-    """Per person, over its orders: profile, RFM, delivery and order-gap inputs."""
+def order_profile(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """Per person, over its orders: profile, RFM, delivery and order-gap inputs.
+
+    Orders are reduced per customer id first (combined on the map side, whatever its share),
+    then joined to the persons and merged.
+    """
     ts = F.col("order_purchase_timestamp")
     taken = days_between("order_delivered_customer_date", "order_purchase_timestamp")
     delay = days_between("order_delivered_customer_date", "order_estimated_delivery_date")
-    when = F.struct(ts, F.col("order_id"))
-    gaps = F.count(ts) - 1  # the gaps between consecutive orders sum to last - first
+    value = dbl("order_value")
+    per_customer = orders.groupBy("customer_id").agg(
+        F.max(F.struct(ts, F.col("order_id"))).alias("latest"),
+        F.min(ts).alias("first"),
+        F.max(ts).alias("last"),
+        F.count(ts).alias("dated"),
+        F.countDistinct("order_id").alias("orders"),
+        F.sum(money("order_value")).alias("money"),
+        F.count(value).alias("value_n"),
+        F.avg(value).alias("value_mean"),
+        (F.var_pop(value) * F.count(value)).alias("value_m2"),
+        F.sum("order_items_qty").alias("items"),
+        F.sum(money("total_freight_value")).alias("freight"),
+        F.count("total_freight_value").alias("freight_n"),
+        F.sum(taken).alias("taken"),
+        F.count(taken).alias("taken_n"),
+        F.sum(delay).alias("delay"),
+        F.count(delay).alias("delay_n"),
+        count_if(delay > 0).alias("late"),
+        F.count("order_delivered_customer_date").alias("delivered"),
+    )
+    people = customers.select("customer_id", PERSON, "customer_state", "customer_city")
+    joined = per_customer.join(people, "customer_id")
+    gaps = F.sum("dated") - 1  # the gaps between consecutive orders sum to last - first
+    n, mean = F.col("value_n"), F.col("value_mean")
+    # Merged sum of squares about the overall mean, from the parts' means and sums of squares.
+    raw = F.sum(F.col("value_m2") + n * mean * mean)
+    overall = F.sum(n * mean) / F.sum(n)
+    spread = F.greatest(F.lit(0.0), raw - F.sum(n) * overall * overall)
     return joined.groupBy(PERSON).agg(
-        F.max_by("customer_state", F.when(F.col("customer_state").isNotNull(), when)).alias("state"),
-        F.max_by("customer_city", F.when(F.col("customer_city").isNotNull(), when)).alias("city"),
-        F.min(ts).alias("first_purchase"),
-        F.max(ts).alias("last_purchase"),
-        F.countDistinct("order_id").alias("frequency_orders"),
-        F.sum(money("order_value")).alias("monetary"),
-        F.sum("order_items_qty").alias("total_items"),
-        money_mean("total_freight_value").alias("avg_freight_value"),
-        F.avg(taken).alias("avg_delivery_days"),
-        F.avg(delay).alias("avg_delivery_delay"),
-        count_if(delay > 0).alias("late_orders"),
-        F.count("order_delivered_customer_date").alias("delivered_orders"),
-        F.when(gaps > 0, days_between(F.max(ts), F.min(ts)) / gaps).alias("days_between_orders_mean"),
-        F.stddev_samp(dbl("order_value")).alias("order_value_std"),
+        F.max_by("customer_state", F.when(F.col("customer_state").isNotNull(), F.col("latest"))).alias("state"),
+        F.max_by("customer_city", F.when(F.col("customer_city").isNotNull(), F.col("latest"))).alias("city"),
+        F.min("first").alias("first_purchase"),
+        F.max("last").alias("last_purchase"),
+        F.sum("orders").alias("frequency_orders"),
+        F.sum("money").alias("monetary"),
+        F.sum("items").alias("total_items"),
+        (dbl(F.sum("freight")) / F.sum("freight_n")).alias("avg_freight_value"),
+        ratio(F.sum("taken"), F.sum("taken_n"), None).alias("avg_delivery_days"),
+        ratio(F.sum("delay"), F.sum("delay_n"), None).alias("avg_delivery_delay"),
+        F.sum("late").alias("late_orders"),
+        F.sum("delivered").alias("delivered_orders"),
+        F.when(gaps > 0, days_between(F.max("last"), F.min("first")) / gaps).alias("days_between_orders_mean"),
+        F.when(F.sum(n) > 1, F.sqrt(spread / (F.sum(n) - 1))).alias("order_value_std"),
     )
 
 
@@ -201,7 +232,7 @@ def feature_store(
     reference = orders.agg(F.max("order_purchase_timestamp").alias("reference"))  # one row
 
     wide = (
-        home.join(order_profile(joined), PERSON, "left")
+        home.join(order_profile(customers, orders), PERSON, "left")
         .join(category_habits(joined, items, products), PERSON, "left")
         .join(payment_habits(joined, payments), PERSON, "left")
         .join(review_habits(joined, reviews), PERSON, "left")

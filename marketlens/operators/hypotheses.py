@@ -29,12 +29,16 @@ def delay_against_review(orders: DataFrame, reviews: DataFrame) -> DataFrame:
 def repeat_against_single_spend(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """Does the average order spend of repeat buyers differ from that of single buyers?"""
     per_order = items.groupBy("order_id").agg(F.sum(money("price")).alias("price"))
-    people = (
+    per_customer = (
         orders.select("order_id", "customer_id")
         .join(per_order, "order_id", "left")
-        .join(customers.select("customer_id", "customer_unique_id"), "customer_id")
+        .groupBy("customer_id")
+        .agg(F.countDistinct("order_id").alias("orders"), total("price").alias("price"), F.count(F.lit(1)).alias("rows"))
+    )
+    people = (
+        per_customer.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
         .groupBy("customer_unique_id")
-        .agg(F.countDistinct("order_id").alias("orders"), (dbl(total("price")) / F.count(F.lit(1))).alias("spend"))
+        .agg(F.sum("orders").alias("orders"), (dbl(F.sum("price")) / F.sum("rows")).alias("spend"))
     )
     out = mann_whitney(people, "spend", F.col("orders") > 1)
     return out.withColumnsRenamed(

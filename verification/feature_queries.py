@@ -110,7 +110,7 @@ for _group, _cols in X.FEATURE_GROUPS.items():
     )
 register(
     "feat_interpurchase",
-    lambda m: X.order_profile(X.person_orders(m.customers, m.curated().orders)).select(
+    lambda m: X.order_profile(m.customers, m.curated().orders).select(
         "customer_unique_id", F.round("days_between_orders_mean", 6).alias("days_between_orders_mean"), F.round("order_value_std", 2).alias("order_value_std")
     ),
     with_roles(
