@@ -10,7 +10,6 @@ from marketlens.functions.exprs import (
     dbl,
     effective_category,
     money,
-    money_mean,
     money_total,
     pct,
 )

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from marketlens.model import RULES
 from marketlens.operators import clean as C
-from marketlens.sources.market import from_star_schema
 from verification import dirty
 from verification.dirty import DIRTY, sql_missing, sql_strip, sql_title
 from verification.registry import ORACLES, QUERIES, register

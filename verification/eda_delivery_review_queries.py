@@ -4,7 +4,7 @@ from marketlens.operators import eda_delivery as D
 from marketlens.operators import eda_reviews as R
 from verification.eda_product_customer_queries import stats_sql
 from verification.registry import register
-from verification.roles_sql import big, count_if, days, dbl, mmean, msum, pct, quant, rnd, with_roles
+from verification.roles_sql import big, count_if, days, dbl, mmean, pct, quant, rnd, with_roles
 
 P, A, C, V, E = (
     "order_purchase_timestamp",

@@ -3,7 +3,7 @@ from __future__ import annotations
 from marketlens.operators import eda_customers as C
 from marketlens.operators import eda_products as P
 from verification.registry import register
-from verification.roles_sql import big, count_if, mmean, msum, pct, quant, rnd, with_roles
+from verification.roles_sql import count_if, mmean, msum, pct, quant, rnd, with_roles
 
 TOTALS = {
     "totals": """

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from marketlens.ml import clv, encoding, repeat_purchase, scoring, segmentation
 from marketlens.sources.workspace import shared_dir, stored
-from verification.feature_queries import CUTOFF, FEATURES_SQL, TEMPORAL, TEMPORAL_SQL, store, temporal
+from verification.feature_queries import FEATURES_SQL, TEMPORAL, TEMPORAL_SQL, store, temporal
 from verification.registry import register
-from verification.roles_sql import big, count_if, pct, quant, rnd, with_roles
+from verification.roles_sql import quant, rnd, with_roles
 
 SPLIT = "1996-01-01"
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketlens.operators import profile as P
 from verification.registry import register
-from verification.roles_sql import big, count_if, dbl, mmean, pct, quant, rnd, with_roles
+from verification.roles_sql import dbl, pct, quant, rnd, with_roles
 
 ITEM_KEYS = ["order_id", "order_item_id"]
 PRODUCT_NUM = [

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.model import PIPELINE_DATASETS, RULES
-from marketlens.operators import clean as C
 from marketlens.operators import quality as Q
 from verification.registry import register
 from verification.roles_sql import big, count_if, rnd, with_roles
