@@ -10,6 +10,7 @@ from marketlens.llm.block_naming import exact_groups
 from marketlens.llm.common import documents
 from marketlens.llm.oracles import ORACLES
 from marketlens.llm.packing import packed
+from marketlens.llm.simhash_anchors import near_duplicates
 
 
 def vocabulary() -> str:
@@ -18,6 +19,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op7_simhash(spark: SparkSession, base: str) -> DataFrame:
+    return near_duplicates(documents(spark, base))
+
+
 def op9_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
     return exact_groups(documents(spark, base))
 
@@ -27,6 +32,7 @@ def op10_packing(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_simhash": op7_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
 }
