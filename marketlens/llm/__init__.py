@@ -1 +1,8 @@
 """Operators for preparing language-model training data."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to the executors carry their code, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -12,4 +12,27 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM r
 """
 
-ORACLES: dict[str, str] = {"op9_exact_dedup": EXACT_DEDUP}
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), runs AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS run
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+), least AS (
+  SELECT run, min(doc_id) AS first_id FROM runs GROUP BY run
+), gone AS (
+  SELECT doc_id, list(DISTINCT j) AS js
+  FROM (SELECT r.doc_id, unnest(range(r.i, r.i + 13)) AS j FROM runs r JOIN least l USING (run) WHERE l.first_id < r.doc_id)
+  GROUP BY doc_id
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d
+), kept AS (
+  SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.j) AS text
+  FROM words w LEFT JOIN (SELECT doc_id, unnest(js) AS j FROM gone) g ON g.doc_id = w.doc_id AND g.j = w.j
+  WHERE g.j IS NULL GROUP BY w.doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(len(gone.js), 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_substring_dedup": SUBSTRING_DEDUP, "op9_exact_dedup": EXACT_DEDUP}

@@ -11,6 +11,7 @@ from marketlens.llm.common import documents
 from marketlens.llm.oracles import ORACLES
 from marketlens.llm.packing import packed
 from marketlens.llm.simhash_anchors import near_duplicates
+from marketlens.llm.suffix_groups import repeated_words_removed
 
 
 def vocabulary() -> str:
@@ -19,6 +20,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
+    return repeated_words_removed(documents(spark, base))
+
+
 def op7_simhash(spark: SparkSession, base: str) -> DataFrame:
     return near_duplicates(documents(spark, base))
 
@@ -32,6 +37,7 @@ def op10_packing(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op7_simhash": op7_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
