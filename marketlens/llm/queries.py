@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketlens.llm import language_filters, toxic_lexicon
 from marketlens.llm.block_naming import exact_groups
-from marketlens.llm.common import documents
+from marketlens.llm.common import documents, table
 from marketlens.llm.oracles import ORACLES
 from marketlens.llm.packing import packed
 from marketlens.llm.simhash_anchors import near_duplicates
 from marketlens.llm.suffix_groups import repeated_words_removed
+from marketlens.llm.url_rules import Given, judged
+
+#: The block and allow lists of the url query.
+URL_RULES = (
+    Given("block", "net", "/"),
+    Given("allow", "example.net", "/en/"),
+    Given("block", "example.com", "/de/"),
+    Given("allow", "org", "/fr/"),
+)
 
 
 def vocabulary() -> str:
@@ -24,6 +34,22 @@ def op2_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
     return repeated_words_removed(documents(spark, base))
 
 
+def op3_toxicity(spark: SparkSession, base: str) -> DataFrame:
+    docs = documents(spark, base)
+    lexicon = toxic_lexicon.learn(docs, table(spark, base, "labels"), folds=5, held_out=0)
+    return language_filters.with_fold(toxic_lexicon.scored(docs, lexicon), 5, 0)
+
+
+def op4_language_id(spark: SparkSession, base: str) -> DataFrame:
+    docs = documents(spark, base)
+    filters = language_filters.learn(language_filters.learning_part(docs, 4, 2))
+    return language_filters.with_fold(language_filters.identified(docs, filters), 4, 2)
+
+
+def op5_url_filters(spark: SparkSession, base: str) -> DataFrame:
+    return judged(table(spark, base, "pages"), URL_RULES)
+
+
 def op7_simhash(spark: SparkSession, base: str) -> DataFrame:
     return near_duplicates(documents(spark, base))
 
@@ -38,6 +64,9 @@ def op10_packing(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op4_language_id": op4_language_id,
+    "op5_url_filters": op5_url_filters,
     "op7_simhash": op7_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
