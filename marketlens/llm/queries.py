@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlens.llm import language_filters, toxic_lexicon
+from marketlens.llm import language_filters, pseudo_likelihood, toxic_lexicon
 from marketlens.llm.block_naming import exact_groups
 from marketlens.llm.common import documents, table
 from marketlens.llm.oracles import ORACLES
 from marketlens.llm.packing import packed
+from marketlens.llm.seed_alignment import contaminated
 from marketlens.llm.simhash_anchors import near_duplicates
 from marketlens.llm.suffix_groups import repeated_words_removed
 from marketlens.llm.url_rules import Given, judged
@@ -30,6 +31,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_lm_scoring(spark: SparkSession, base: str) -> DataFrame:
+    docs = documents(spark, base)
+    return pseudo_likelihood.scored(docs, pseudo_likelihood.learn(docs))
+
+
 def op2_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
     return repeated_words_removed(documents(spark, base))
 
@@ -50,6 +56,10 @@ def op5_url_filters(spark: SparkSession, base: str) -> DataFrame:
     return judged(table(spark, base, "pages"), URL_RULES)
 
 
+def op6_decontamination(spark: SparkSession, base: str) -> DataFrame:
+    return contaminated(documents(spark, base), table(spark, base, "benchmark"))
+
+
 def op7_simhash(spark: SparkSession, base: str) -> DataFrame:
     return near_duplicates(documents(spark, base))
 
@@ -63,10 +73,12 @@ def op10_packing(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
     "op5_url_filters": op5_url_filters,
+    "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
