@@ -14,6 +14,7 @@ from marketlens.llm.packing import packed
 from marketlens.llm.seed_alignment import contaminated
 from marketlens.llm.simhash_anchors import near_duplicates
 from marketlens.llm.suffix_groups import repeated_words_removed
+from marketlens.llm.surrogates import pseudonymised
 from marketlens.llm.url_rules import Given, judged
 
 #: The block and allow lists of the url query.
@@ -24,6 +25,9 @@ URL_RULES = (
     Given("allow", "org", "/fr/"),
 )
 
+#: The key of the surrogate query; a secret of whoever runs it in earnest.
+SURROGATE_KEY = "marketlens"
+
 
 def vocabulary() -> str:
     import public_tokenizers
@@ -64,6 +68,10 @@ def op7_simhash(spark: SparkSession, base: str) -> DataFrame:
     return near_duplicates(documents(spark, base))
 
 
+def op8_surrogates(spark: SparkSession, base: str) -> DataFrame:
+    return pseudonymised(documents(spark, base), SURROGATE_KEY)
+
+
 def op9_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
     return exact_groups(documents(spark, base))
 
@@ -80,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filters": op5_url_filters,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
+    "op8_surrogates": op8_surrogates,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
 }
