@@ -30,8 +30,11 @@ from marketlens.sources.workspace import stored
 
 DEPTH = 13
 GROUP = 4_000_000  # suffixes in a group: about 150 MB while its subtree is read
-SLOTS = 1 << 16  # classes of prefixes of one length
+SLOTS = 1 << 16  # classes of prefixes of one length, at least; more for a corpus of many groups
 BROADCAST_IDS = 4_000_000  # ids of affected documents that are broadcast, 8 bytes each
+FAN = 256  # groups that a task writes to at once
+RESPLIT = 4_000_000  # suffixes held while groups are split again
+HOT = -1  # the group of suffixes that are known to repeat
 LAST = (1 << 63) - 1  # a null doc_id comes after all others
 
 
@@ -43,23 +46,23 @@ def prefix_lengths(depth: int) -> list[int]:
     return [*out, depth] if depth > 1 else out
 
 
-def _slots(words: Words, at: np.ndarray, length: int) -> np.ndarray:
-    return (windows(words.hashes, length, 100 + length)[at] % np.uint64(SLOTS)).astype(np.int64)
+def _slots(words: Words, at: np.ndarray, length: int, slots: int) -> np.ndarray:
+    return (windows(words.hashes, length, 100 + length)[at] % np.uint64(slots)).astype(np.int64)
 
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column(0).fill_null(LAST).to_numpy()
 
 
-def _counts(depth: int):
+def _counts(depth: int, slots: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = prefix_lengths(depth)
-        totals = np.zeros((len(lengths), SLOTS), dtype=np.int64)
+        totals = np.zeros((len(lengths), slots), dtype=np.int64)
         for _, texts in chunks(batches, 1):
             words = Words(texts)
             at = inside(words, depth)
             for k, length in enumerate(lengths):
-                totals[k] += np.bincount(_slots(words, at, length), minlength=SLOTS)
+                totals[k] += np.bincount(_slots(words, at, length, slots), minlength=slots)
         level, slot = np.nonzero(totals)
         yield pa.RecordBatch.from_arrays(
             [pa.array(level, pa.int64()), pa.array(slot, pa.int64()), pa.array(totals[level, slot])], names=["level", "slot", "n"]
@@ -70,29 +73,25 @@ def _counts(depth: int):
 
 class Groups:
     """Which group a suffix belongs to: the first prefix length whose class is small enough decides;
-    small classes share a group. ``counts`` has a fixed size, whatever the corpus."""
+    small classes share a group."""
 
     def __init__(self, counts: np.ndarray, depth: int, group: int):
-        self.lengths, self.depth = prefix_lengths(depth), depth
-        self.fits = counts <= group
-        self.group = np.zeros(counts.shape, dtype=np.int64)
-        bins = max(1, -(-int(counts[0].sum()) // group))
-        # Classes go to bins by their number; bins of one length hold about ``group`` suffixes.
-        for level in range(len(self.lengths)):
-            self.group[level] = np.arange(SLOTS) % bins + level * bins
-
-    def place(self, words: Words, at: np.ndarray) -> np.ndarray:
-        """The group of each suffix; -1 for suffixes of hot nodes."""
-        out = np.full(len(at), -1, dtype=np.int64)
+        self.lengths, self.fits = prefix_lengths(depth), counts <= group
+        self.bins = max(1, -(-int(counts[0].sum()) // group))
+        self.number = self.bins * len(self.lengths)
+
+    def place(self, words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The group of each suffix, and whether even its longest prefix is in too large a class."""
+        out, crowded = np.zeros(len(at), dtype=np.int64), np.zeros(len(at), dtype=bool)
         open_ = np.arange(len(at))
         for level, length in enumerate(self.lengths):
-            slots = _slots(words, at[open_], length)
-            fits = self.fits[level, slots]
-            out[open_[fits]] = self.group[level, slots[fits]]
-            open_ = open_[~fits]
+            slots = _slots(words, at[open_], length, self.fits.shape[1])
+            out[open_] = slots % self.bins + level * self.bins
+            open_ = open_[~self.fits[level, slots]]
             if not len(open_):
                 break
-        return out
+        crowded[open_] = True
+        return out, crowded
 
 
 def _digests(words: Words, at: np.ndarray, depth: int) -> np.ndarray:
@@ -105,31 +104,55 @@ def _keys(texts: list[bytes]) -> np.ndarray:
 
 
 def _hot(groups, depth: int):
+    """(digest, least, n) of the suffixes in classes that no prefix makes small enough."""
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least: dict[int, int] = {}
         for batch, texts in chunks(batches, 1):
             words = Words(texts)
             at = inside(words, depth)
-            at = at[groups.place(words, at) < 0]
-            digest, doc = _digests(words, at, depth), _ids(batch)[words.doc[at]]
-            order = np.lexsort((doc, digest))
-            digest, doc = digest[order], doc[order]
-            new = np.flatnonzero(np.concatenate(([True], digest[1:] != digest[:-1]))) if len(digest) else []
-            for d, i in zip(digest[new].view(np.int64).tolist(), doc[new].tolist()):
-                least[d] = min(i, least.get(d, LAST))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(least), pa.int64()), pa.array(list(least.values()), pa.int64())], names=["digest", "least"]
-        )
+            at = at[groups.place(words, at)[1]]
+            if len(at):
+                digest, doc = _digests(words, at, depth), _ids(batch)[words.doc[at]]
+                order = np.lexsort((doc, digest))
+                digest, doc = digest[order], doc[order]
+                new = np.flatnonzero(np.concatenate(([True], digest[1:] != digest[:-1])))
+                n = np.diff(np.concatenate((new, [len(digest)])))
+                yield pa.RecordBatch.from_arrays([pa.array(digest[new].view(np.int64)), pa.array(doc[new]), pa.array(n)], names=["digest", "least", "n"])
 
     return of
 
 
-_SUFFIXES = "grp long, ids binary, keys binary, first binary, at binary, digests binary"
+_SUFFIXES = "grp long, ids binary, keys binary, counts binary, at binary, digests binary, fine binary"
+
+
+def _packed(group: np.ndarray, ids: np.ndarray, keys: np.ndarray, at: np.ndarray, digest: np.ndarray, fine: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """One row per group: its documents (ids and keys, with the number of their suffixes), and the
+    suffixes' word numbers in the document, digests and, if they are to be split again, final groups."""
+    order = np.lexsort((keys, ids, group))
+    group, ids, keys, at, digest = group[order], ids[order], keys[order], at[order], digest[order]
+    rows = []
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(group)])) if len(group) else []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        new = np.flatnonzero(np.concatenate(([True], (np.diff(ids[a:b]) != 0) | (np.diff(keys[a:b]) != 0))))
+        counts = np.diff(np.concatenate((new, [b - a])))
+        arrays = (ids[a:b][new], keys[a:b][new], counts.astype(np.uint32), at[a:b].astype(np.uint32), digest[a:b])
+        rows.append((int(group[a]), *[x.tobytes() for x in arrays], fine[order][a:b].astype(np.uint32).tobytes() if fine is not None else b""))
+    if rows:
+        names = ["grp", "ids", "keys", "counts", "at", "digests", "fine"]
+        cols = [pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 7)]]
+        yield pa.RecordBatch.from_arrays(cols, names=names)
+
+
+def _unpacked(row: dict) -> tuple[np.ndarray, ...]:
+    """(ids, keys, word numbers, digests, final groups), one of each per suffix."""
+    counts = np.frombuffer(row["counts"], np.uint32)
+    ids, keys = (np.repeat(np.frombuffer(row[k], np.int64), counts) for k in ("ids", "keys"))
+    return ids, keys, np.frombuffer(row["at"], np.uint32).astype(np.int64), np.frombuffer(row["digests"], np.uint64), np.frombuffer(row["fine"], np.uint32)
 
 
-def _suffixes(groups, hot, depth: int):
-    """One row per chunk of documents and group: the suffixes' word numbers in the chunk and digests,
-    with the chunk's documents. Group -1 has those of hot nodes that a smaller doc_id has too."""
+def _suffixes(groups, hot, depth: int, width: int):
+    """The suffixes of a task by group, ``width`` final groups taken together; group HOT has those
+    of hot nodes that a smaller doc_id has too."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests, least = hot
@@ -138,104 +161,116 @@ def _suffixes(groups, hot, depth: int):
             at = inside(words, depth)
             if not len(at):
                 continue
-            group, digest, ids = groups.place(words, at), _digests(words, at, depth), _ids(batch)
-            keep = group >= 0
-            if not keep.all():
+            (fine, _), digest, ids = groups.place(words, at), _digests(words, at, depth), _ids(batch)
+            coarse = fine // width
+            if len(digests):
                 near = np.minimum(np.searchsorted(digests, digest), len(digests) - 1)
-                keep |= least[near] < ids[words.doc[at]]
-            at, group, digest = at[keep], group[keep], digest[keep]
-            order = np.argsort(group, kind="stable")
-            at, group, digest = at[order], group[order], digest[order]
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(group)])) if len(group) else [0]
-            table = [x.tobytes() for x in (ids.astype(np.int64), _keys(texts), words.first.astype(np.uint32))]
-            rows = []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                step = np.diff(at[a:b], prepend=0)
-                small = step.max() < 1 << 16
-                rows.append((int(group[a]), *table, step.astype(np.uint16 if small else np.uint32).tobytes(), digest[a:b].tobytes() if group[a] >= 0 else b""))
-            if rows:
-                names = ["grp", "ids", "keys", "first", "at", "digests"]
-                cols = [pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 6)]]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                known = digests[near] == digest
+                coarse[known] = HOT
+                keep = ~known | (least[near] < ids[words.doc[at]])
+                at, fine, coarse, digest = at[keep], fine[keep], coarse[keep], digest[keep]
+            doc = words.doc[at]
+            yield from _packed(coarse, ids[doc].astype(np.int64), _keys(texts)[doc], at - words.first[doc], digest, fine if width > 1 else None)
 
     return of
 
 
-def _unpack(row: dict) -> tuple[np.ndarray, ...]:
-    """(ids, keys, doc of each suffix, its word number in the document, digest)."""
-    ids, keys = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["keys"], np.int64)
-    first, digest = np.frombuffer(row["first"], np.uint32).astype(np.int64), np.frombuffer(row["digests"], np.uint64)
-    wide = len(digest) and len(row["at"]) == 4 * len(digest)
-    if not len(digest):  # hot: the numbers alone; their width shows in the last of them
-        for kind in (np.uint16, np.uint32):
-            if len(row["at"]) % np.dtype(kind).itemsize == 0:
-                at = np.cumsum(np.frombuffer(row["at"], kind).astype(np.int64))
-                if len(at) and at[-1] < first[-1]:
-                    break
-    else:
-        at = np.cumsum(np.frombuffer(row["at"], np.uint32 if wide else np.uint16).astype(np.int64))
-    doc = np.searchsorted(first, at, side="right") - 1
-    return ids, keys, doc, at - first[doc], digest
+def _resplit(width: int):
+    """Rows sorted by group, each group split into final groups, ``width`` of them taken together."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        size, now = 0, None
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            if held:
+                ids, keys, at, digest, fine = (np.concatenate(x) for x in zip(*held))
+                yield from _packed(fine.astype(np.int64) // width, ids, keys, at, digest, fine if width > 1 else None)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["grp"] == HOT:
+                    yield pa.RecordBatch.from_pylist([row])
+                    continue
+                if row["grp"] != now or size > RESPLIT:
+                    yield from emit()
+                    held, size, now = [], 0, row["grp"]
+                held.append(_unpacked(row))
+                size += len(held[-1][0])
+        yield from emit()
+
+    return of
 
 
-_REPEATS = "doc_id long, key long, positions array<int>"
+_REPEATS = "doc_id long, key long, block int, mask long"
 
 
-def _by_document(ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+def _bits(ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """A row per repeated suffix: its place as one bit of a block of 64."""
     order = np.lexsort((at, keys, ids))
-    ids, keys, at = ids[order], keys[order], at[order]
-    cuts = np.flatnonzero((np.diff(ids) != 0) | (np.diff(keys) != 0)) + 1
-    starts = np.concatenate(([0], cuts)) if len(ids) else np.zeros(0, dtype=np.int64)
-    lists = pa.ListArray.from_arrays(pa.array([*starts.tolist(), len(ids)], pa.int32()), pa.array(at.astype(np.int32)))
-    return pa.RecordBatch.from_arrays([pa.array(ids[starts]), pa.array(keys[starts]), lists], names=["doc_id", "key", "positions"])
+    at = at[order]
+    mask = (np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids[order]), pa.array(keys[order]), pa.array((at >> 6).astype(np.int32)), pa.array(mask)], names=["doc_id", "key", "block", "mask"]
+    )
 
 
 def _subtree(group: pa.Table) -> pa.Table:
     """Suffixes of one group below a deep node that also has a suffix of a smaller doc_id."""
-    parts = [_unpack(r) for r in group.to_pylist()]
-    digest = np.concatenate([p[4] for p in parts])
-    ids = np.concatenate([p[0][p[2]] for p in parts])
-    keys = np.concatenate([p[1][p[2]] for p in parts])
-    at = np.concatenate([p[3] for p in parts])
+    ids, keys, at, digest, _ = (np.concatenate(x) for x in zip(*[_unpacked(r) for r in group.to_pylist()]))
     order = np.lexsort((ids, digest))
     digest, ids, keys, at = digest[order], ids[order], keys[order], at[order]
     new = np.concatenate(([True], digest[1:] != digest[:-1]))
     least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]  # the node's first suffix has its smallest doc_id
     again = ids > least
-    return pa.Table.from_batches([_by_document(ids[again], keys[again], at[again])])
+    return pa.Table.from_batches([_bits(ids[again], keys[again], at[again])])
 
 
 def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            ids, keys, doc, at, _ = _unpack(row)
-            yield _by_document(ids[doc], keys[doc], at)
+            yield _bits(*_unpacked(row)[:3])
+
+
+def places(blocks: list[int], masks: list[int]) -> np.ndarray:
+    """Word numbers from blocks of 64 bits."""
+    bits = np.unpackbits(np.array(masks, dtype="<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    row, bit = np.nonzero(bits)
+    return np.array(blocks, dtype=np.int64)[row] * 64 + bit
 
 
-def repeats(docs: DataFrame, depth: int = DEPTH, group: int = GROUP) -> DataFrame:
-    """(doc_id, key, positions): word numbers at which a run of ``depth`` words starts that also starts
-    in a document with a smaller doc_id. ``key`` is a hash of the text; a document may have several
-    rows; a null doc_id is given as the largest number."""
+def repeats(docs: DataFrame, depth: int = DEPTH, group: int = GROUP, fan: int = FAN) -> DataFrame:
+    """(doc_id, key, block, mask): the places, as bits, of runs of ``depth`` words that also start in a
+    document with a smaller doc_id. ``key`` is a hash of the text; a null doc_id is given as LAST."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counted = rows.mapInArrow(_counts(depth), "level long, slot long, n long").groupBy("level", "slot").agg(F.sum("n").alias("n"))
-    counts = np.zeros((len(prefix_lengths(depth)), SLOTS), dtype=np.int64)
-    table = counted.toPandas()  # at most SLOTS rows for each prefix length
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one row; a word takes two bytes at least
+    slots = max(SLOTS, 1 << (size // 2 // group).bit_length())
+    counted = rows.mapInArrow(_counts(depth, slots), "level long, slot long, n long").groupBy("level", "slot").agg(F.sum("n").alias("n"))
+    counts = np.zeros((len(prefix_lengths(depth)), slots), dtype=np.int64)
+    table = counted.toPandas()  # at most ``slots`` rows for each prefix length
     counts[table["level"], table["slot"]] = table["n"]
     groups = Groups(counts, depth, group)
-    digests, least = np.zeros(1, dtype=np.uint64), np.full(1, LAST)
-    if (counts > group).all(axis=0).any() or (counts[-1] > group).any():
-        # Each hot class has over ``group`` suffixes, so there are fewer of them than groups.
-        found = rows.mapInArrow(_hot(groups, depth), "digest long, least long").groupBy("digest").agg(F.min("least").alias("least")).toPandas()
-        order = np.argsort(found["digest"].to_numpy().view(np.uint64))
-        if len(order):
-            digests, least = found["digest"].to_numpy().view(np.uint64)[order], found["least"].to_numpy()[order]
-    hot = (digests, least)
-    suffixes = rows.mapInArrow(_suffixes(groups, hot, depth), _SUFFIXES)
-    if (counts[-1] > group).any():
-        suffixes = stored(suffixes, "suffixes")
-        known = suffixes.filter("grp < 0").mapInArrow(_known, _REPEATS)
-        return stored(suffixes.filter("grp >= 0").groupBy("grp").applyInArrow(_subtree, _REPEATS).unionByName(known), "repeats")
-    return stored(suffixes.groupBy("grp").applyInArrow(_subtree, _REPEATS), "repeats")
+    hot, crowded = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)), bool((counts[-1] > group).any())
+    if crowded:
+        found = rows.mapInArrow(_hot(groups, depth), "digest long, least long, n long").groupBy("digest")
+        found = found.agg(F.min("least").alias("least"), F.sum("n").alias("n")).filter(F.col("n") > group // 4)
+        found = found.toPandas()  # fewer than four times as many as groups
+        digests = found["digest"].to_numpy(dtype=np.int64).view(np.uint64)
+        order = np.argsort(digests)
+        hot = digests[order], found["least"].to_numpy(dtype=np.int64)[order]
+    # A task writes to at most ``fan`` groups at once; more groups are reached in several exchanges.
+    width = 1
+    while groups.number > width * fan:
+        width *= fan
+    suffixes = rows.mapInArrow(_suffixes(groups, hot, depth, width), _SUFFIXES)
+    while width > 1:
+        width //= fan
+        suffixes = suffixes.repartition("grp").sortWithinPartitions("grp").mapInArrow(_resplit(width), _SUFFIXES)
+    if not crowded:
+        return suffixes.groupBy("grp").applyInArrow(_subtree, _REPEATS)
+    suffixes = stored(suffixes, "suffixes")
+    known = suffixes.filter(F.col("grp") == HOT).mapInArrow(_known, _REPEATS)
+    return suffixes.filter(F.col("grp") != HOT).groupBy("grp").applyInArrow(_subtree, _REPEATS).unionByName(known)
 
 
 def covered(positions: np.ndarray, n: int, depth: int) -> np.ndarray:
@@ -258,14 +293,14 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(depth: int):
-    """(doc_id, key, text, positions) to (doc_id, key, kept text, n_removed, digest)."""
+    """(doc_id, key, text, blocks, masks) to (doc_id, key, kept text, n_removed, digest)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, 2):
             kept, removed = [], []
-            for text, positions in zip(texts, batch.column(3)):
+            for text, blocks, masks in zip(texts, batch.column(3), batch.column(4)):
                 words = text.split()
-                gone = covered(np.array(positions.as_py(), dtype=np.int64), len(words), depth)
+                gone = covered(places(blocks.as_py(), masks.as_py()), len(words), depth)
                 kept.append(b" ".join([w for w, g in zip(words, gone) if not g]))
                 removed.append(int(gone.sum()))
             sha = [hashlib.sha256(k).hexdigest() for k in kept]
@@ -282,22 +317,23 @@ def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_keys(texts)), batch.column(1)], names=["doc_id", "key", "text"])
 
 
-def cut_texts(docs: DataFrame, depth: int = DEPTH, group: int = GROUP) -> DataFrame:
+def cut_texts(docs: DataFrame, depth: int = DEPTH, group: int = GROUP, fan: int = FAN) -> DataFrame:
     """(doc_id, key, kept, n_removed, sha) of the documents that lose words, one row per distinct text."""
-    found = repeats(docs, depth, group)
-    lists = found.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("positions")).alias("positions"))  # at most a document's words
-    lists = stored(lists.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id"))), "positions")
+    found = repeats(docs, depth, group, fan)
+    blocks = found.groupBy("doc_id", "key", "block").agg(F.bit_or("mask").alias("mask"))
+    lists = blocks.groupBy("doc_id", "key").agg(F.collect_list(F.struct("block", "mask")).alias("blocks"))  # of one document
+    lists = stored(lists.withColumn("doc_id", F.when(F.col("doc_id") != LAST, F.col("doc_id"))), "repeats")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ids = lists.select("doc_id").distinct()
     if ids.count() <= BROADCAST_IDS:  # beyond, the join below shuffles the texts of all documents
         rows = only(rows, F.broadcast(stored(ids, "affected")))
     rows = rows.mapInArrow(_with_key, "doc_id long, key long, text string").dropDuplicates(["doc_id", "key"])
     hit = rows.join(lists, rows["doc_id"].eqNullSafe(lists["doc_id"]) & (rows["key"] == lists["key"]))
-    hit = hit.select(rows["doc_id"], rows["key"], "text", "positions")
+    hit = hit.select(rows["doc_id"], rows["key"], "text", F.col("blocks.block").alias("blocks"), F.col("blocks.mask").alias("masks"))
     return hit.mapInArrow(_cut(depth), "doc_id long, key long, kept string, n_removed long, sha string")
 
 
-def repeated_words_removed(docs: DataFrame, depth: int = DEPTH, group: int = GROUP) -> DataFrame:
+def repeated_words_removed(docs: DataFrame, depth: int = DEPTH, group: int = GROUP, fan: int = FAN) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256.
 
     A word is removed if a run of ``depth`` words covers it that also starts in a document with a
@@ -306,7 +342,7 @@ def repeated_words_removed(docs: DataFrame, depth: int = DEPTH, group: int = GRO
     other's earlier copy; a null doc_id comes after all others. Other columns are ignored; an empty
     table gives an empty result.
     """
-    cut = stored(cut_texts(docs, depth, group).drop("kept"), "cut")
+    cut = stored(cut_texts(docs, depth, group, fan).drop("kept"), "cut")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     whole = rows.mapInArrow(_whole, "doc_id long, key long, n_words long, kept_sha256 string")
     out = whole.join(cut, whole["doc_id"].eqNullSafe(cut["doc_id"]) & (whole["key"] == cut["key"]), "left")
