@@ -8,6 +8,7 @@ crosses a document and nothing is padded.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -17,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.llm.words import Words, chunks
 from marketlens.sources.workspace import stored
 
 SEQUENCE = 2048  # a power of two
 END = 1  # the id that closes a document
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
+CHUNK = 4 << 20  # bytes of text whose distinct words are looked up together
 
 
 def binary_pieces(n: int, longest: int = SEQUENCE) -> list[tuple[int, int]]:
@@ -36,31 +39,85 @@ def binary_pieces(n: int, longest: int = SEQUENCE) -> list[tuple[int, int]]:
     return out
 
 
-class _Words(dict):
-    """Ids by word. White space always ends a token of this vocabulary and leaves no id, so a
-    text's ids are its words' ids in a row."""
+# How this vocabulary splits a word, for words of ASCII characters.
+_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+_PRINTABLE = re.compile(rb"[\x21-\x7e]+").fullmatch
+
+
+class _Encoder:
+    """Ids of words. White space always ends a token of this vocabulary and leaves no id, so a text's
+    ids are its words' ids in a row; a word's are those of its pieces in a row."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[bytes, list[int]] = {}
+        self.pieces: dict[str, list[int]] = {}
 
-    def __missing__(self, word: bytes) -> list[int]:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = self[word] = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(piece)]
         return ids
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Normalise and split many words in one call; spaces keep them apart."""
+        norm = self.tokenizer.normalizer.normalize_str(" ".join(w.decode() for w in words))
+        ends = iter([*(i for i, c in enumerate(norm) if c == " "), len(norm)])
+        todo, end, now = iter(words), next(ends), []
+        for piece, (start, _) in self.tokenizer.pre_tokenizer.pre_tokenize_str(norm):
+            while start >= end:
+                self.words[next(todo)] = now
+                end, now = next(ends), []
+            now += self.pieces.get(piece) or self._piece(piece)
+        for word in todo:
+            self.words[word] = now
+            now = []
+
+    def ids(self, words: list[bytes]) -> list[list[int]]:
+        if len(self.words) > CACHED_WORDS:
+            self.words, self.pieces = {}, {}
+        new = [w for w in words if w not in self.words]
+        # What may hold a special token, or white space of another script, is encoded as it stands.
+        odd = {w for w in new if b"<|" in w or (not w.isascii() and len(w.decode().split()) > 1)}
+        known = self.pieces
+        for w in new:
+            if w not in odd and _PRINTABLE(w):
+                ids = []
+                for piece in _ASCII_PIECES.findall(w.decode().lower()):
+                    ids += known.get(piece) or self._piece(piece)
+                self.words[w] = ids
+        plain = [w for w in new if w not in odd and not _PRINTABLE(w)]
+        if plain:
+            self._learn(plain)
+        for w in odd:
+            self.words[w] = self.tokenizer.encode(w.decode(), add_special_tokens=False).ids
+        return [self.words[w] for w in words]
+
+
+def _encoded(encoder: _Encoder, texts: list[bytes]) -> list[np.ndarray]:
+    """The ids of each text: every distinct word of the chunk is looked up once."""
+    words = Words(texts)
+    _, first, which = np.unique(words.hashes, return_index=True, return_inverse=True)
+    spans = zip(words.starts[first].tolist(), words.ends[first].tolist())
+    lists = encoder.ids([words.flat[a:b] for a, b in spans])
+    sizes = np.array([len(x) for x in lists], dtype=np.int64)
+    flat = np.fromiter(chain.from_iterable(lists), dtype="<u4", count=int(sizes.sum()))
+    begins = np.cumsum(sizes) - sizes
+    n = sizes[which]
+    upto = np.concatenate(([0], np.cumsum(n)))
+    ids = flat[np.arange(upto[-1]) + np.repeat(begins[which] - upto[:-1], n)]
+    cuts = upto[words.first]
+    return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
 
 def _pieces(vocabulary: str, longest: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(vocabulary)
-        for batch in batches:
+        encoder, end = _Encoder(vocabulary), np.array([END], dtype="<u4")
+        for batch, texts in chunks(batches, 1, CHUNK):
             doc, start, length, crc, total, ids_out = [], [], [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                raw = text.as_py() or b""
-                ids = np.array([*chain.from_iterable(map(words.__getitem__, raw.split())), END], dtype="<u4")
+            for doc_id, body in zip(batch.column(0).to_pylist(), _encoded(encoder, texts)):
+                ids = np.concatenate((body, end))
                 for s, n in binary_pieces(len(ids), longest):
                     piece = ids[s : s + n]
                     doc.append(doc_id)

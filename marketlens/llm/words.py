@@ -78,14 +78,14 @@ def inside(words: Words, size: int) -> np.ndarray:
     return np.flatnonzero(words.doc[:n] == words.doc[size - 1 : size - 1 + n]) if n else np.zeros(0, dtype=np.int64)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with about CHUNK_BYTES of text each, and their texts (null: empty)."""
+def chunks(batches: Iterator[pa.RecordBatch], text: int, size: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with about ``size`` bytes of text each, and their texts (null: empty)."""
     for batch in batches:
         texts = batch.column(text).cast(pa.binary())
         sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy())
         at = 0
         while at < batch.num_rows:
             before = sizes[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(sizes, before + CHUNK_BYTES, side="right")))
+            end = max(at + 1, int(np.searchsorted(sizes, before + size, side="right")))
             yield batch.slice(at, end - at), [t.as_py() or b"" for t in texts[at:end]]
             at = end
