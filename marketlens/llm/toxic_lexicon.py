@@ -27,7 +27,7 @@ from marketlens.sources.workspace import stored
 LABELLED = 20_000  # most labelled documents that the lexicon is learned from
 SHORTEST, LONGEST = 3, 14  # characters of a term
 MIN_DOCS = 5  # toxic documents with the term
-MIN_Z = 5.0  # of its log-odds
+MIN_Z = 6.0  # how sure its log-odds must be
 MIN_WEIGHT = 1.0
 GAIN = 0.5  # a longer term must weigh so much more than its beginning
 CLEAN_WEIGHT = -1.5  # log-odds of an exception phrase
@@ -66,11 +66,12 @@ def _presences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _log_odds(a, b, toxic: int, clean: int):
-    """Log-odds of a term in ``a`` toxic and ``b`` clean documents, and its standard error."""
-    return (
-        F.log(a + 0.5) - F.log(b + 0.5) - F.log(F.lit((toxic + 1) / (clean + 1))),
-        F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)),
-    )
+    """Log-odds of a term in ``a`` toxic and ``b`` clean documents, and how sure they are: the root of
+    the likelihood ratio against no connection, with the sign of the log-odds."""
+    weight = F.log(a + 0.5) - F.log(b + 0.5) - F.log(F.lit((toxic + 1) / (clean + 1)))
+    share = toxic / (toxic + clean)
+    part = lambda n, p: F.when(n > 0, n * F.log(n / (p * (a + b)))).otherwise(0.0)
+    return weight, F.signum(weight) * F.sqrt(F.greatest(2 * (part(a, share) + part(b, 1 - share)), F.lit(0.0)))
 
 
 @dataclass
@@ -174,7 +175,8 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0)
     """A lexicon from the labelled documents. Empty, with score 0, if no label is left to learn from."""
     chosen = stored(learning_labels(labels, folds, held_out), "labels").withColumnRenamed("doc_id", "_labelled")
     rows = docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_labelled")).filter("text IS NOT NULL")
-    rows = stored(rows.select("text", "toxic"), "labelled-texts")
+    # Copies of one text say no more than the text.
+    rows = stored(rows.groupBy("text").agg(F.max("toxic").alias("toxic")), "labelled-texts")
     totals = rows.agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("all")).first()  # one row
     toxic, clean = totals["toxic"] or 0, totals["all"] - (totals["toxic"] or 0)
     if not toxic or not clean:
@@ -187,15 +189,15 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0)
         F.explode(F.transform(ends, lambda n: F.substring("word", F.lit(1), n))).alias("term"), "toxic", "all"
     )
     terms = terms.groupBy("term").agg(F.sum("toxic").alias("a"), (F.sum("all") - F.sum("toxic")).alias("b"))
-    weight, error = _log_odds(F.col("a"), F.col("b"), toxic, clean)
-    found = terms.select("term", weight.alias("weight"), (weight / error).alias("z"), "a")
+    weight, z = _log_odds(F.col("a"), F.col("b"), toxic, clean)
+    found = terms.select("term", weight.alias("weight"), z.alias("z"), "a")
     found = found.filter((F.col("a") >= MIN_DOCS) & (F.col("z") >= MIN_Z) & (F.col("weight") >= MIN_WEIGHT))
     lexicon = Lexicon(_lasting({r["term"]: r["weight"] for r in found.collect()}))  # beginnings of words of LABELLED documents
     phrases = rows.mapInArrow(_phrases(lexicon), "phrase string, toxic long, all long").groupBy("phrase").agg(
         F.sum("toxic").alias("a"), (F.sum("all") - F.sum("toxic")).alias("b")
     )
-    weight, error = _log_odds(F.col("a"), F.col("b"), toxic, clean)
-    excused = phrases.filter((F.col("b") >= MIN_DOCS) & (weight <= CLEAN_WEIGHT) & (weight / error <= -MIN_Z / 2))
+    weight, z = _log_odds(F.col("a"), F.col("b"), toxic, clean)
+    excused = phrases.filter((F.col("b") >= MIN_DOCS) & (weight <= CLEAN_WEIGHT) & (z <= -MIN_Z / 2))
     lexicon.exceptions = {r["phrase"] for r in excused.select("phrase").collect()}
     fit = rows.mapInArrow(_features(lexicon), "toxic int, x array<double>").toPandas()  # at most LABELLED rows
     lexicon.curve = _fitted(np.stack(fit["x"].to_numpy()), fit["toxic"].to_numpy(dtype=float))
