@@ -6,7 +6,7 @@ every row (or every distinct value) of a group into one task. Everything here in
 1. aggregates the rows to one row per distinct value (map-side combined, so a value shared
    by a third of all rows costs one row per map task),
 2. writes those in range-partitioned order: each file is one contiguous, even stretch, and
-   the file names sort like the stretches,
+   the file numbers sort like the stretches,
 3. turns per-file totals (one row per file) into running offsets, and
 4. opens windows only inside a file.
 """

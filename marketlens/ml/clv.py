@@ -61,13 +61,13 @@ class Hurdle:
         return self.regressor
 
 
-def fit_hurdle(train: DataFrame) -> Hurdle:
-    """The regressor sees only buyers, or everyone when there are five buyers or fewer."""
+def fit_hurdle(train: DataFrame, min_buyers: int = 6) -> Hurdle:
+    """The regressor sees only buyers, or everyone when there are fewer than ``min_buyers``."""
     flagged = train.withColumn("_buys", (F.col(TARGET) > 0).cast("double"))
     classifier = GBTClassifier(labelCol="_buys", maxIter=50, maxDepth=3, seed=SEED).fit(flagged)
     buyers = train.filter(F.col(TARGET) > 0)
     n = buyers.count()
-    rows, n = (buyers, n) if n > 5 else (train, train.count())
+    rows, n = (buyers, n) if n >= min_buyers else (train, train.count())
     return Hurdle(classifier, ridge(n).fit(rows))
 
 

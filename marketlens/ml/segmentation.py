@@ -47,8 +47,13 @@ def with_vector(scaled: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=SCALED, outputCol="features").transform(scaled)
 
 
-def fit_kmeans(vectors: DataFrame, k: int) -> KMeansModel:
-    return KMeans(k=k, seed=SEED, maxIter=100, predictionCol="cluster").fit(vectors)
+STARTS = 10
+
+
+def fit_kmeans(vectors: DataFrame, k: int, starts: int = STARTS) -> KMeansModel:
+    """The model with the least inertia of several starts."""
+    fits = [KMeans(k=k, seed=SEED + i, maxIter=100, predictionCol="cluster").fit(vectors) for i in range(starts)]
+    return min(fits, key=lambda model: model.summary.trainingCost)
 
 
 def cluster_quality(assigned: DataFrame) -> DataFrame:
@@ -95,6 +100,7 @@ def evaluate_k(scaled: DataFrame, low: int = 2, high: int = 6) -> DataFrame:
     return reduce(DataFrame.unionByName, parts.values())
 
 
+# The labels and bounds of the personas.
 def persona(recency: Column, frequency: Column, revenue: Column) -> Column:
     return (
         F.when(frequency > 1.5, "Loyal Repeat Buyers")

@@ -269,6 +269,7 @@ def transform_report(name: str, raw: DataFrame, transformed: DataFrame) -> DataF
     after = transformed.agg(
         F.count(F.lit(1)).alias("rows_out"), *[F.count(c).alias(f"set_{c}") for c in derived]
     )
+    # The names of the steps.
     steps = [("missing_value_standardization", F.col("marked")), ("string_cleansing", F.col("trimmed"))]
     if rules.date_fields:
         steps.append(("date_conversions", F.col("rows_in")))

@@ -20,6 +20,7 @@ PERSON = "customer_unique_id"
 DAYS_PER_MONTH = 30.44
 HORIZON_DAYS = 90
 
+# Output columns and their order.
 FEATURE_GROUPS: dict[str, list[str]] = {
     "customer_profile": [
         "customer_id",

@@ -84,20 +84,46 @@ def numeric_statistics(df: DataFrame) -> DataFrame:
     return d.select("column", F.col("n").alias("count"), "mean", "std", "min", "q25", "median", "q75", "max", F.round("skewness", 4).alias("skewness"), "null_count")
 
 
+LONG_TEXT = 64  # characters above which values are counted by digest
+
+
 def categorical_statistics(df: DataFrame) -> DataFrame:
     """Distinct values, mode (ties to the smallest), its frequency, and nulls per text column."""
     cols = text_columns(df)
-    values = df.select(*cols).unpivot([], cols, "column", "value").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Long texts are counted by a digest; the text itself is fetched for the modes alone.
+    digest = [F.when(F.length(c) > LONG_TEXT, F.sha2(c, 256)).alias(c) for c in cols]
+    short = [F.when(F.length(c) <= LONG_TEXT, F.col(c)).alias(f"_short_{c}") for c in cols]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_short_{c}").alias("value"), F.col(c).alias("digest")) for c in cols])
+    each = df.select(*digest, *short).select(F.inline(pairs))
+    values = each.groupBy("column", "value", "digest").agg(F.count(F.lit(1)).alias("n"))
     v, n = F.col("value"), F.col("n")
-    held = F.when(v.isNotNull(), n)
+    known = v.isNotNull() | F.col("digest").isNotNull()
+    held = F.when(known, n)
     # The mode as a minimum of (-count, value): combines on the map side, no window per column.
-    mode = F.min(F.when(v.isNotNull(), F.struct((-n).alias("neg"), v.alias("value"))))
+    most = values.groupBy("column").agg(F.max(held).alias("most"))  # one row per column
     stats = values.groupBy("column").agg(
-        F.count(v).alias("unique_count"),
-        mode.alias("mode"),
+        F.count(F.when(known, 1)).alias("unique_count"),
         F.sum(n).alias("rows"),
-        F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("null_count"),
-        F.sum(held).alias("held"),
+        F.coalesce(F.sum(F.when(~known, n)), F.lit(0)).alias("null_count"),
+    )
+    tied = values.join(F.broadcast(most.filter("most IS NOT NULL").withColumnRenamed("column", "_column")), (F.col("column") == F.col("_column")) & (n == F.col("most")))
+    tied = tied.filter(known).select("column", "value", "digest", "most")
+    short_mode = tied.groupBy("column").agg(F.min(v).alias("short"), F.max("most").alias("most"))
+    out = stats.join(F.broadcast(short_mode), "column", "left")  # one row per column
+    long_ties = tied.filter("digest IS NOT NULL").select(F.col("column").alias("_column"), F.col("digest").alias("_digest"))
+    longest = reduce(
+        DataFrame.unionByName,
+        [
+            df.select(F.lit(c).alias("_c"), F.col(c).alias("_text"))
+            .filter(F.length("_text") > LONG_TEXT)
+            .join(long_ties, (F.col("_c") == F.col("_column")) & (F.sha2("_text", 256) == F.col("_digest")), "left_semi")
+            .groupBy("_c")
+            .agg(F.min("_text").alias("long"))
+            for c in cols
+        ],
+    )
+    stats = out.join(F.broadcast(longest), F.col("column") == F.col("_c"), "left").withColumn(
+        "mode", F.struct((-F.col("most")).alias("neg"), F.least("short", "long").alias("value"))
     )
     top = F.coalesce(-F.col("mode.neg"), F.lit(0))
     return stats.select(

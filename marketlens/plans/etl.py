@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.model import PIPELINE_DATASETS
+from marketlens.model import CURATED, PIPELINE_DATASETS
 from marketlens.operators.clean import transform_batch, transform_dataset
 from marketlens.operators.quality import (
     CircuitBreaker,
@@ -23,7 +23,7 @@ from marketlens.operators.quality import (
 )
 from marketlens.plans.manifest import Manifest
 from marketlens.sources.workspace import concurrently, stored
-from marketlens.sources.writers import load_batch, load_table
+from marketlens.sources.writers import load_batch, load_table, table_exists
 
 
 def staged(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -71,7 +71,7 @@ def run_dataset(
         raise
     loads = load_table(name, transform_dataset(name, raw, context), target)
     if manifest:
-        manifest.record(name, "LOAD", "SUCCESS")
+        manifest.record(name, "LOAD", "SUCCESS", target)
     return _metrics(spark, {name: raw}, summary, loads)
 
 
@@ -80,12 +80,14 @@ def run_all(
 ) -> DataFrame:
     """All datasets in dependency order: one metrics row each.
 
-    On resume everything is validated and transformed again, but datasets the manifest
-    records as loaded are not written again. The manifest is closed after a clean run.
+    On resume everything is validated again. A dataset that the manifest records as loaded into
+    this target, and that is there, is neither transformed for its own sake nor written again. The
+    manifest is closed after a clean run.
     """
-    done = manifest.completed() if manifest and resume else set()
     raw = staged(tables)
     spark = next(iter(raw.values())).sparkSession
+    recorded = manifest.completed(target) if manifest and resume else set()
+    done = {n for n in recorded if n not in CURATED or table_exists(spark, f"{target}/{n}")}
     summary = stored(quality_summary(quality_batch(raw)), "quality")
     try:
         require_no_critical(summary)
@@ -95,7 +97,7 @@ def run_all(
         raise
     ready = transform_batch(raw, keep=stored)
     todo = {n: df for n, df in ready.items() if n not in done}
-    loads = load_batch(todo, target, on_loaded=(lambda n: manifest.record(n, "LOAD", "SUCCESS")) if manifest else None) if todo else None
+    loads = load_batch(todo, target, on_loaded=(lambda n: manifest.record(n, "LOAD", "SUCCESS", target)) if manifest else None) if todo else None
     metrics = stored(_metrics(spark, raw, summary, loads), "metrics")
     if manifest and overall(metrics).first()["overall_status"] in ("SUCCESS", "WARNING"):  # one row
         manifest.close()

@@ -46,7 +46,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def stored_in_order(df: DataFrame, keys: Sequence[Column | str], name: str) -> DataFrame:
-    """Like ``stored``, but range-partitioned and sorted, with the file of each row as ``_file``.
+    """Like ``stored``, but range-partitioned and sorted, with the number of each row's file as ``_file``.
 
     Every file holds one contiguous stretch of the key order. The stretch is fixed once the
     table is written, so unlike a partition id it survives retries and re-planning.
@@ -54,7 +54,12 @@ def stored_in_order(df: DataFrame, keys: Sequence[Column | str], name: str) -> D
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
-    return table.select("*", F.col("_metadata.file_name").alias("_file"))
+    return table.select("*", part_number(F.col("_metadata.file_name")).alias("_file"))
+
+
+def part_number(file_name: Column) -> Column:
+    """The task that wrote a file. Names are padded to five digits only, so they do not sort like it."""
+    return F.regexp_extract(file_name, r"^part-(\d+)", 1).cast("long")
 
 
 def concurrently(jobs: Mapping[str, Callable[[], T]], width: int = 8) -> dict[str, T]:

@@ -51,22 +51,48 @@ def load_table(name: str, df: DataFrame, base: str) -> DataFrame:
     """Write one curated table and count it back: (dataset, attempted, inserted, skipped, verified).
 
     Translations have no target table: they are counted as skipped. Attempted rows are
-    observed during the write, so the input is computed once. The commit protocol makes a
-    failed write leave nothing behind.
+    observed during the write, so the input is computed once. The new table is written and counted
+    beside the old one and takes its place only then: a failed load leaves the old table.
     """
     spark = df.sparkSession
     if name not in CURATED:
         n = df.count()
         return _load_row(spark, name, n, 0, n)
     attempted = Observation(f"attempted-{uuid.uuid4().hex}")
-    path = f"{base}/{name}"
-    to_target(name, df.observe(attempted, F.count(F.lit(1)).alias("n"))).write.mode("overwrite").parquet(path)
+    path = f"{base}/_loading/{name}-{uuid.uuid4().hex}"
+    to_target(name, df.observe(attempted, F.count(F.lit(1)).alias("n"))).write.parquet(path)
     inserted, attempted = spark.read.parquet(path).count(), attempted.get["n"]
     if inserted < attempted:
         raise LoadError(f"{name}: {inserted} of {attempted} rows found after the load")
+    _switch(spark, path, f"{base}/{name}")
     return _load_row(spark, name, attempted, inserted, 0)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a complete table was written to ``path``."""
+    at, fs = _hadoop(spark, f"{path}/_SUCCESS")
+    return fs.exists(at)
+
+
+def _switch(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished table in the place of the old one, which goes last."""
+    source, fs = _hadoop(spark, new)
+    target, _ = _hadoop(spark, path)
+    old, _ = _hadoop(spark, f"{new}-replaced")
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, old):
+        raise LoadError(f"{path}: the old table cannot be moved aside")
+    if not fs.rename(source, target):
+        raise LoadError(f"{path}: the new table cannot be put in place")
+    if replaced:
+        fs.delete(old, True)
+
+
 def _load_row(spark: SparkSession, name: str, attempted: int, inserted: int, skipped: int) -> DataFrame:
     return spark.range(1).select(
         F.lit(name).alias("dataset"),
@@ -83,19 +109,18 @@ def load_batch(
     """Load parents before children; tables of one level load side by side.
 
     What has no target table is counted last. ``on_loaded`` is called with each dataset's
-    name once it is loaded and verified.
+    name once its level is loaded and verified, from the calling thread.
     """
 
     def load(name: str) -> DataFrame:
-        row = load_table(name, tables[name], base)
-        if on_loaded:
-            on_loaded(name)
-        return row
+        return load_table(name, tables[name], base)
 
     rows: list[DataFrame] = []
     for level in [*LOAD_LEVELS, tuple(n for n in tables if n not in CURATED)]:
         jobs = {n: (lambda n=n: load(n)) for n in level if n in tables}
         rows += concurrently(jobs).values()
+        for name in jobs if on_loaded else ():
+            on_loaded(name)
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -1,10 +1,14 @@
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.model import RULES
 from marketlens.operators.quality import CircuitBreaker
 from marketlens.plans import etl
 from marketlens.plans.manifest import Manifest
+from marketlens.plans.reports import report
 from marketlens.sources import readers, writers
+from marketlens.sources.market import from_tables
+from marketlens.sources.workspace import concurrently, part_number
 
 
 def text(spark, name, rows):
@@ -45,9 +49,44 @@ def test_csv_to_curated_tables(spark, tables, tmp_path):
     product = readers.read_table(spark, "products", str(tmp_path / "curated")).first()
     assert (product["category_name_english"], product["product_volume_cm3"]) == ("Health_Beauty", 24.0)
     # a failed run keeps its history, so a resumed one loads nothing again
-    assert manifest.completed() == set(tables)
-    again = etl.run_all(raw, str(tmp_path / "elsewhere"), manifest, resume=True)
+    target = str(tmp_path / "curated")
+    assert manifest.completed(target) == set(tables)
+    again = etl.run_all(raw, target, manifest, resume=True)
     assert {r["attempted"] for r in again.collect()} == {0}
+    # another target has none of it, whatever the manifest says of the first
+    other = {r["dataset"]: r["inserted"] for r in etl.run_all(raw, str(tmp_path / "elsewhere"), manifest, resume=True).collect()}
+    assert other["customers"] == 2 and other["orders"] == 1
+    # and a table that is gone is loaded again
+    writers._hadoop(spark, f"{target}/orders")[1].delete(writers._hadoop(spark, f"{target}/orders")[0], True)
+    third = {r["dataset"]: r["attempted"] for r in etl.run_all(raw, target, manifest, resume=True).collect()}
+    assert (third["orders"], third["customers"]) == (1, 0)
+
+
+def test_records_of_many_writers_all_stay(spark, tmp_path):
+    manifest = Manifest(spark, str(tmp_path / "manifest"))
+    for turn in range(3):
+        concurrently({str(i): (lambda i=i: manifest.record(f"set{i}", "LOAD", "SUCCESS", f"t{turn}")) for i in range(8)})
+        assert len(manifest.completed(f"t{turn}")) == 8
+    assert manifest.rows().count() == 24
+
+
+def test_failed_load_leaves_the_old_table(spark, tables, tmp_path):
+    base = str(tmp_path / "curated")
+    writers.load_table("payments", tables["payments"], base)
+    broken = tables["payments"].withColumn("payment_type", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        writers.load_table("payments", broken, base)
+    assert readers.read_table(spark, "payments", base).count() == 1
+    writers.load_table("payments", tables["payments"].limit(0), base)
+    assert readers.read_table(spark, "payments", base).count() == 0
+
+
+def test_reports_read_what_the_pipeline_wrote(spark, tables, tmp_path):
+    tables["order_items"] = tables["order_items"].distinct()
+    base = str(tmp_path / "curated")
+    etl.run_all(tables, base)
+    for family in ("customers", "products"):
+        assert report(family, from_tables(spark, base)).count() > 0
 
 
 def test_clean_run_closes_the_manifest(spark, tables, tmp_path):
@@ -55,7 +94,7 @@ def test_clean_run_closes_the_manifest(spark, tables, tmp_path):
     tables["order_items"] = tables["order_items"].distinct()
     metrics = etl.run_all(tables, str(tmp_path / "c"), manifest)
     assert etl.overall(metrics).first()["overall_status"] == "SUCCESS"
-    assert manifest.completed() == set()
+    assert manifest.completed(str(tmp_path / "c")) == set()
 
 
 def test_critical_failure_is_recorded_and_raised(spark, tables, tmp_path):
@@ -88,3 +127,10 @@ def test_latin1_and_bom_files(spark, tmp_path):
     bom = tmp_path / "translations_bom.csv"
     bom.write_bytes(b"\xef\xbb\xbf" + rows.encode())
     assert readers.read_csv(spark, str(bom)).first()["product_category_name"] == "construção"
+
+
+def test_part_files_are_ordered_by_number(spark):
+    names = ["part-99999-a.parquet", "part-100000-a.parquet", "part-00007-a.parquet"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = [r["name"] for r in df.orderBy(part_number(F.col("name"))).collect()]
+    assert got == [names[2], names[0], names[1]]

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.model import RULES
@@ -180,7 +183,7 @@ def raw(m):
 
 
 register(
-    "transform_batch",
+    "transform_batch_orders",
     lambda m: plain_rollup(C.transform_batch(raw(m))["orders"]),
     with_roles(
         f"""SELECT order_id, coalesce(q, 0) AS order_items_qty, {dbl("coalesce(p, 0)")} AS total_items_price,
@@ -190,6 +193,58 @@ FROM m_orders LEFT JOIN u_sums USING (order_id)""",
     ),
 )
 
+#: Per dataset: metric, over the transformed rows, and in SQL over the given ones.
+_TRANSFORMED = {
+    "customers": [("zip_chars", F.sum(F.length("customer_zip_code_prefix")), "sum(5)"), ("states", F.count_distinct("customer_state"), "count(DISTINCT upper(customer_state))")],
+    "orders": [
+        ("order_value", F.sum("order_value"), "max((SELECT sum(p + f) FROM u_sums JOIN m_orders USING (order_id)))"),
+        ("delivered", F.count_if("is_delivered"), "count(*) FILTER (order_status = 'delivered')"),
+        ("purchases", F.count("order_purchase_timestamp"), "count(order_purchase_timestamp)"),
+    ],
+    "order_items": [("price", F.sum("price"), "sum(price)"), ("freight", F.sum("freight_value"), "sum(freight_value)"), ("sellers", F.count_distinct("seller_id"), "count(DISTINCT seller_id)")],
+    "products": [
+        ("volume", F.sum("product_volume_cm3"), "sum(product_length_cm * product_height_cm * product_width_cm)"),
+        ("translated", F.count_if(F.col("category_name_english") != "Uncategorized"), "count(*) FILTER (product_category_name IN (SELECT product_category_name FROM translations))"),
+    ],
+    "payments": [
+        ("instalments", F.count_if("is_installment_payment"), "count(*) FILTER (payment_installments > 1)"),
+        ("vouchers", F.count_if("is_voucher_payment"), "count(*) FILTER (payment_type = 'voucher')"),
+        ("paid", F.sum("payment_value"), "sum(payment_value)"),
+    ],
+    "reviews": [
+        ("titled", F.count_if("has_comment_title"), "count(*) FILTER (coalesce(regexp_matches(review_comment_title, '[^[:space:]]'), FALSE))"),
+        ("commented", F.count_if("has_comment_message"), "count(*) FILTER (coalesce(regexp_matches(review_comment_message, '[^[:space:]]'), FALSE))"),
+        ("score", F.sum("review_score"), "sum(review_score)"),
+    ],
+    "translations": [("names", F.count_distinct("product_category_name_english"), "count(DISTINCT product_category_name_english)")],
+}
+
+
+def _all_transformed(m):
+    """All seven datasets: rows and sums over what each transformation derives."""
+    done, parts = C.transform_batch(raw(m)), []
+    for name, metrics in _TRANSFORMED.items():
+        pairs = [("rows", F.count(F.lit(1))), *[(k, c) for k, c, _ in metrics]]
+        one = done[name].agg(*[c.cast("double").alias(k) for k, c in pairs])  # one row
+        rows = F.array(*[F.struct(F.lit(name).alias("dataset"), F.lit(k).alias("metric"), F.round(k, 2).alias("value")) for k, _ in pairs])
+        parts.append(one.select(F.inline(rows)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _transformed_sql() -> str:
+    parts = []
+    for name, metrics in _TRANSFORMED.items():
+        keys = RULES[name].key
+        rows = {"orders": "m_orders", "order_items": "u_items"}.get(name, name)
+        unique = f"(SELECT * FROM {rows} QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {keys[0]}) = 1)"
+        source = rows if name in ("orders", "order_items") else unique
+        for k, sql in [("rows", "count(*)"), *[(k, sql) for k, _, sql in metrics]]:
+            parts.append(f"SELECT '{name}' AS dataset, '{k}' AS metric, {rnd(f'CAST({sql} AS DOUBLE)')} AS value FROM {source} t")
+    return "\nUNION ALL ".join(parts)
+
+
+register("transform_batch", _all_transformed, with_roles(_transformed_sql(), DEDUP))
+
 
 def _transform_report(spark, base):
     df = dirty.customers(spark, base)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from marketlens.ml import clv, encoding, repeat_purchase, scoring, segmentation
@@ -163,40 +165,24 @@ def _hurdle(m):
 register("clv_hurdle", _hurdle)
 
 
-def _ridge_run(m) -> clv.ClvRun:
-    """A run with the quick linear model alone."""
-    features = stored(temporal(m), "temporal")
-    train, test = encoding.chronological_split(features, SPLIT)
-    encoder = encoding.fit_encoder(train)
-    encoded = encoding.encode(encoder, train)
-    models = {"Ridge Regression": clv.Regressor(clv.ridge(train.count()).fit(encoded))}
-    scored = models["Ridge Regression"].predict(encoding.encode(encoder, test), "p")
-    return clv.ClvRun(encoder, models, clv.regression_metrics(scored, {"Ridge Regression": "p"}), "Ridge Regression", features)
+def _clv_run(m) -> clv.ClvRun:
+    return clv.train_clv(temporal(m), SPLIT)
 
 
-def _logistic_run(m) -> repeat_purchase.RepeatRun:
-    features = stored(temporal(m), "temporal")
-    train, test = encoding.chronological_split(features, SPLIT)
-    encoder = encoding.fit_encoder(train)
-    full = repeat_purchase.class_weights(encoding.encode(encoder, train))
-    name = "Logistic Regression"
-    model = repeat_purchase.estimators(train.count())[name].fit(full)
-    scored = repeat_purchase.scored(model, encoding.encode(encoder, test))
-    threshold = repeat_purchase.best_threshold(scored).first()["optimal_threshold"]
-    comparison = repeat_purchase.all_metrics(scored, threshold).withColumn("model", F.lit(name))
-    return repeat_purchase.RepeatRun(encoder, {name: model}, comparison, name, threshold, features)
+def _repeat_run(m) -> repeat_purchase.RepeatRun:
+    return repeat_purchase.train_repeat(temporal(m), SPLIT)
 
 
-register("ml_importance", lambda m: _ridge_run(m).importance())
-register("clv_score_all", lambda m: _ridge_run(m).score_all())
-register("clv_extreme_errors", lambda m: clv.extreme_errors(_ridge_run(m).score_all()))
-register("kpi_top_clv", lambda m: clv.top_customers(_ridge_run(m).score_all()))
-register("rp_score_all", lambda m: _logistic_run(m).score_all())
+register("ml_importance", lambda m: _clv_run(m).importance())
+register("clv_score_all", lambda m: _clv_run(m).score_all())
+register("clv_extreme_errors", lambda m: clv.extreme_errors(_clv_run(m).score_all()))
+register("kpi_top_clv", lambda m: clv.top_customers(_clv_run(m).score_all()))
+register("rp_score_all", lambda m: _repeat_run(m).score_all())
 
 
 def _export(m):
-    run = _ridge_run(m)
-    path = f"{shared_dir(run.features.sparkSession)}/clv-export"
+    run = _clv_run(m)
+    path = f"{shared_dir(run.features.sparkSession)}/clv-export-{uuid.uuid4().hex}"
     scoring.export_clv(run, path)
     return run.features.sparkSession.read.parquet(f"{path}/predictions.parquet").select("customer_unique_id", "predicted_clv")
 
@@ -213,7 +199,7 @@ def _requests(m):
 
 
 def _score_batch(m):
-    run = _ridge_run(m)
+    run = _clv_run(m)
     return scoring.score_clv_requests(stored(_requests(m), "requests"), run, run.score_all())
 
 

@@ -197,10 +197,12 @@ register("etl_run_all", _run_all, _etl_sql())
 def _resume(m):
     spark = m.orders.sparkSession
     base = folder(spark)
-    manifest = Manifest(spark, f"{base}/manifest")
-    for name in ("customers", "products"):
-        manifest.record(name, "LOAD", "SUCCESS")
-    return etl.run_all(text_tables(m), f"{base}/curated", manifest, resume=True).drop("validation", "loaded")
+    manifest, target = Manifest(spark, f"{base}/manifest"), f"{base}/curated"
+    # An earlier run that loaded two datasets and then stopped.
+    ready = clean.transform_batch(text_tables(m))
+    first = {n: ready[n] for n in ("customers", "products")}
+    writers.load_batch(first, target, on_loaded=lambda n: manifest.record(n, "LOAD", "SUCCESS", target))
+    return etl.run_all(text_tables(m), target, manifest, resume=True).drop("validation", "loaded")
 
 
 register("etl_resume", _resume, _etl_sql(("customers", "products")))

@@ -94,10 +94,22 @@ register(
     with_roles("\nUNION ALL ".join(f"({_categorical(c, 'customers')})" for c in ("customer_city", "customer_state"))),
 )
 register("profile_full", lambda m: P.profile_report("payments", m.payments, ["order_id", "payment_sequential"]))
-register("profile_report", lambda m: P.profile_report("reviews", m.reviews.drop("review_comment_message"), ["review_id", "order_id"]))
+register("profile_report", lambda m: P.profile_report("reviews", m.reviews, ["review_id", "order_id"]))
 register(
     "profile_batch",
-    lambda m: P.profile_batch({"customers": m.customers, "sellers": m.sellers}, {"customers": ["customer_id"], "sellers": ["seller_id"]}),
+    lambda m: P.profile_batch(
+        m.as_dict(),
+        {
+            "customers": ["customer_id"],
+            "orders": ["order_id"],
+            "order_items": ["order_id", "order_item_id"],
+            "payments": ["order_id", "payment_sequential"],
+            "reviews": ["review_id", "order_id"],
+            "products": ["product_id"],
+            "translations": ["product_category_name"],
+            "sellers": ["seller_id"],
+        },
+    ),
 )
 register(
     "hist_numeric",
