@@ -29,7 +29,7 @@ from marketlens.llm.words import Words, chunks, inside, windows
 from marketlens.sources.workspace import stored
 
 DEPTH = 13
-GROUP = 4_000_000  # suffixes in a group: about 150 MB while its subtree is read
+GROUP = 1_500_000  # suffixes in a group: about 150 MB while its subtree is read
 SLOTS = 1 << 16  # classes of prefixes of one length, at least; more for a corpus of many groups
 BROADCAST_IDS = 4_000_000  # ids of affected documents that are broadcast, 8 bytes each
 FAN = 256  # groups that a task writes to at once
@@ -76,9 +76,8 @@ class Groups:
     small classes share a group."""
 
     def __init__(self, counts: np.ndarray, depth: int, group: int):
-        self.lengths, self.fits = prefix_lengths(depth), counts <= group
+        self.lengths, self.fits = prefix_lengths(depth), counts <= max(1, group // 4)  # so that groups come out alike
         self.bins = max(1, -(-int(counts[0].sum()) // group))
-        self.number = self.bins * len(self.lengths)
 
     def place(self, words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The group of each suffix, and whether even its longest prefix is in too large a class."""
@@ -86,7 +85,7 @@ class Groups:
         open_ = np.arange(len(at))
         for level, length in enumerate(self.lengths):
             slots = _slots(words, at[open_], length, self.fits.shape[1])
-            out[open_] = slots % self.bins + level * self.bins
+            out[open_] = (slots + level * 7919) % self.bins
             open_ = open_[~self.fits[level, slots]]
             if not len(open_):
                 break
@@ -100,7 +99,7 @@ def _digests(words: Words, at: np.ndarray, depth: int) -> np.ndarray:
 
 def _keys(texts: list[bytes]) -> np.ndarray:
     """Tells rows with the same doc_id apart."""
-    return np.array([xxh64_intdigest(t) for t in texts], dtype=np.uint64).view(np.int64)
+    return np.array([xxh64_intdigest(t) & 0xFFFFFFFF for t in texts], dtype=np.int64)
 
 
 def _hot(groups, depth: int):
@@ -125,6 +124,21 @@ def _hot(groups, depth: int):
 _SUFFIXES = "grp long, ids binary, keys binary, counts binary, at binary, digests binary, fine binary"
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Numbers from their least one on, in as few bytes as the largest needs."""
+    base = values.min() if len(values) else np.int64(0)
+    # Unsigned, so that a span of more than half the range still fits.
+    span = values.astype(np.int64).view(np.uint64) - np.int64(base).astype(np.uint64)
+    kind = next(k for k in (np.uint16, np.uint32, np.uint64) if not len(span) or span.max() <= np.iinfo(k).max)
+    return np.int64(base).tobytes() + span.astype(kind).tobytes()
+
+
+def _wide(packed: bytes, n: int) -> np.ndarray:
+    kind = {2: np.uint16, 4: np.uint32, 8: np.uint64}[(len(packed) - 8) // max(n, 1) or 2]
+    span = np.frombuffer(packed, kind, offset=8).astype(np.uint64)
+    return (span + np.frombuffer(packed, np.int64, 1).astype(np.uint64)).view(np.int64)
+
+
 def _packed(group: np.ndarray, ids: np.ndarray, keys: np.ndarray, at: np.ndarray, digest: np.ndarray, fine: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """One row per group: its documents (ids and keys, with the number of their suffixes), and the
     suffixes' word numbers in the document, digests and, if they are to be split again, final groups."""
@@ -135,8 +149,8 @@ def _packed(group: np.ndarray, ids: np.ndarray, keys: np.ndarray, at: np.ndarray
     for a, b in zip(cuts[:-1], cuts[1:]):
         new = np.flatnonzero(np.concatenate(([True], (np.diff(ids[a:b]) != 0) | (np.diff(keys[a:b]) != 0))))
         counts = np.diff(np.concatenate((new, [b - a])))
-        arrays = (ids[a:b][new], keys[a:b][new], counts.astype(np.uint32), at[a:b].astype(np.uint32), digest[a:b])
-        rows.append((int(group[a]), *[x.tobytes() for x in arrays], fine[order][a:b].astype(np.uint32).tobytes() if fine is not None else b""))
+        arrays = (_narrow(ids[a:b][new]), keys[a:b][new].astype(np.uint32).tobytes(), _narrow(counts), _narrow(at[a:b]), digest[a:b].tobytes())
+        rows.append((int(group[a]), *arrays, fine[order][a:b].astype(np.uint32).tobytes() if fine is not None else b""))
     if rows:
         names = ["grp", "ids", "keys", "counts", "at", "digests", "fine"]
         cols = [pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 7)]]
@@ -145,9 +159,10 @@ def _packed(group: np.ndarray, ids: np.ndarray, keys: np.ndarray, at: np.ndarray
 
 def _unpacked(row: dict) -> tuple[np.ndarray, ...]:
     """(ids, keys, word numbers, digests, final groups), one of each per suffix."""
-    counts = np.frombuffer(row["counts"], np.uint32)
-    ids, keys = (np.repeat(np.frombuffer(row[k], np.int64), counts) for k in ("ids", "keys"))
-    return ids, keys, np.frombuffer(row["at"], np.uint32).astype(np.int64), np.frombuffer(row["digests"], np.uint64), np.frombuffer(row["fine"], np.uint32)
+    keys, digests = np.frombuffer(row["keys"], np.uint32).astype(np.int64), np.frombuffer(row["digests"], np.uint64)
+    counts = _wide(row["counts"], len(keys))
+    ids = np.repeat(_wide(row["ids"], len(keys)), counts)
+    return ids, np.repeat(keys, counts), _wide(row["at"], len(digests)), digests, np.frombuffer(row["fine"], np.uint32)
 
 
 def _suffixes(groups, hot, depth: int, width: int):
@@ -250,17 +265,17 @@ def repeats(docs: DataFrame, depth: int = DEPTH, group: int = GROUP, fan: int =
     table = counted.toPandas()  # at most ``slots`` rows for each prefix length
     counts[table["level"], table["slot"]] = table["n"]
     groups = Groups(counts, depth, group)
-    hot, crowded = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)), bool((counts[-1] > group).any())
+    hot, crowded = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)), bool((counts[-1] > max(1, group // 4)).any())
     if crowded:
         found = rows.mapInArrow(_hot(groups, depth), "digest long, least long, n long").groupBy("digest")
-        found = found.agg(F.min("least").alias("least"), F.sum("n").alias("n")).filter(F.col("n") > group // 4)
-        found = found.toPandas()  # fewer than four times as many as groups
+        found = found.agg(F.min("least").alias("least"), F.sum("n").alias("n")).filter(F.col("n") > group // 8)
+        found = found.toPandas()  # fewer than eight times as many as groups
         digests = found["digest"].to_numpy(dtype=np.int64).view(np.uint64)
         order = np.argsort(digests)
         hot = digests[order], found["least"].to_numpy(dtype=np.int64)[order]
     # A task writes to at most ``fan`` groups at once; more groups are reached in several exchanges.
     width = 1
-    while groups.number > width * fan:
+    while groups.bins > width * fan:
         width *= fan
     suffixes = rows.mapInArrow(_suffixes(groups, hot, depth, width), _SUFFIXES)
     while width > 1:
