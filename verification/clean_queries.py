@@ -236,7 +236,7 @@ def _transformed_sql() -> str:
     for name, metrics in _TRANSFORMED.items():
         keys = RULES[name].key
         rows = {"orders": "m_orders", "order_items": "u_items"}.get(name, name)
-        unique = f"(SELECT * FROM {rows} QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {keys[0]}) = 1)"
+        unique = f"(SELECT * FROM {rows} QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join([c for c in RULES[name].types if c not in keys] or keys)}) = 1)"
         source = rows if name in ("orders", "order_items") else unique
         for k, sql in [("rows", "count(*)"), *[(k, sql) for k, _, sql in metrics]]:
             parts.append(f"SELECT '{name}' AS dataset, '{k}' AS metric, {rnd(f'CAST({sql} AS DOUBLE)')} AS value FROM {source} t")
