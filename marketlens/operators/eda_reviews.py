@@ -146,15 +146,15 @@ def score_correlations(base: DataFrame) -> DataFrame:
     )
 
 
-def category_ratings(base: DataFrame, n: int = 10) -> DataFrame:
-    """Best and worst categories among those with enough reviews (all if none has)."""
+def category_ratings(base: DataFrame, n: int = 10, min_reviews: int = MIN_CATEGORY_REVIEWS) -> DataFrame:
+    """Best and worst categories among those with ``min_reviews`` reviews (all categories if none has)."""
     s = F.col("review_score")
     cats = base.groupBy("effective_category").agg(
         F.round(ratio(F.sum(s), F.count(s), None), 2).alias("average_score"), F.count(s).alias("review_count")
     )
     most = cats.agg(F.max("review_count").alias("_most"))  # one row
-    enough = F.col("review_count") >= MIN_CATEGORY_REVIEWS
-    valid = cats.crossJoin(F.broadcast(most)).filter(enough | (F.col("_most") < MIN_CATEGORY_REVIEWS)).drop("_most")
+    enough = F.col("review_count") >= min_reviews
+    valid = cats.crossJoin(F.broadcast(most)).filter(enough | (F.col("_most") < min_reviews)).drop("_most")
     score, name = F.col("average_score"), F.col("effective_category")
     return top_rows(valid, "highest", [score.desc(), name], n).unionByName(
         top_rows(valid, "lowest", [score.asc(), name], n)

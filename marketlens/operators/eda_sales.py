@@ -129,11 +129,11 @@ def daily_spikes(orders: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def best_worst_months(orders: DataFrame, n: int = 5) -> DataFrame:
-    """Top and bottom months by revenue among those with enough orders (all if none has)."""
+def best_worst_months(orders: DataFrame, n: int = 5, min_orders: int = MIN_MONTH_ORDERS) -> DataFrame:
+    """Top and bottom months by revenue among those with ``min_orders`` orders (all months if none has)."""
     monthly = monthly_totals(orders)
-    enough = F.max(F.col("orders") >= MIN_MONTH_ORDERS).over(Window.partitionBy())  # one row per month
-    valid = monthly.withColumn("_any", enough).filter((F.col("orders") >= MIN_MONTH_ORDERS) | ~F.col("_any")).drop("_any")
+    enough = F.max(F.col("orders") >= min_orders).over(Window.partitionBy())  # one row per month
+    valid = monthly.withColumn("_any", enough).filter((F.col("orders") >= min_orders) | ~F.col("_any")).drop("_any")
     best = top_rows(valid, "highest", [F.col("revenue").desc(), F.col("year_month")], n)
     worst = top_rows(valid, "lowest", [F.col("revenue").asc(), F.col("year_month")], n)
     return best.unionByName(worst).select(

@@ -95,3 +95,58 @@ def sql_strip(c: str) -> str:
 def sql_title(c: str) -> str:
     return f"""array_to_string(list_transform(range(1, length({c}) + 1), lambda i:
     CASE WHEN i = 1 OR NOT regexp_full_match({c}[i - 1], '\\p{{L}}') THEN upper({c}[i]) ELSE lower({c}[i]) END), '')"""
+
+
+def _case(column: str, id_: str, modulus: int, *values: str) -> str:
+    """``column``, but for the rows whose id leaves remainder 1, 2, .. the given values."""
+    whens = " ".join(f"WHEN {id_} % {modulus} = {i} THEN {v}" for i, v in enumerate(values, 1))
+    return f"CASE {whens} ELSE {column} END"
+
+
+#: Per role, columns with planted violations: SQL that Spark and DuckDB read alike.
+ROLE_DIRT = {
+    "customers": {
+        "customer_id": _case("customer_id", "customer_id", 83, "customer_id - 1", "NULL"),
+        "customer_zip_code_prefix": _case("customer_zip_code_prefix", "customer_id", 79, "-1", "100000", "NULL"),
+        "customer_state": _case("customer_state", "customer_id", 71, "'ZZ'", "NULL"),
+    },
+    "orders": {
+        "order_id": _case("order_id", "order_id", 73, "order_id - 1", "NULL"),
+        "customer_id": _case("customer_id", "order_id", 61, "-1", "NULL"),
+        "order_status": _case("order_status", "order_id", 67, "'lost'", "NULL"),
+    },
+    "order_items": {
+        "order_item_id": _case("order_item_id", "order_id", 59, "0", "NULL"),
+        "price": _case("price", "order_id", 53, "-1", "NULL"),
+        "freight_value": _case("freight_value", "order_id", 47, "-1", "NULL"),
+    },
+    "products": {
+        "product_id": _case("product_id", "product_id", 43, "product_id - 1", "NULL"),
+        "product_weight_g": _case("product_weight_g", "product_id", 41, "-1", "NULL"),
+        "product_width_cm": _case("product_width_cm", "product_id", 37, "-1", "NULL"),
+    },
+    "payments": {
+        "payment_type": _case("payment_type", "order_id", 31, "'cash'", "NULL"),
+        "payment_installments": _case("payment_installments", "order_id", 29, "-1", "NULL"),
+        "payment_value": _case("payment_value", "order_id", 23, "-1", "NULL"),
+    },
+    "reviews": {
+        "review_score": _case("review_score", "order_id", 19, "0", "6", "NULL"),
+        "review_creation_date": _case("CAST(review_creation_date AS STRING)", "order_id", 17, "'not a date'", "NULL"),
+    },
+    "translations": {
+        "product_category_name": "CASE WHEN product_category_name LIKE 'S%' THEN NULL ELSE product_category_name END",
+    },
+}
+
+
+def roles(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {n: t.withColumns({c: F.expr(e) for c, e in ROLE_DIRT[n].items()}) for n, t in tables.items()}
+
+
+def role_sql(names: dict[str, str]) -> dict[str, str]:
+    """CTEs ``d_<role>``; ``names`` maps each role to its clean SQL name."""
+    return {
+        f"d_{n}": f"SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in ROLE_DIRT[n].items())}) FROM {source}"
+        for n, source in names.items()
+    }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlens.model import PIPELINE_DATASETS, RULES
 from marketlens.operators import quality as Q
+from verification import dirty
 from verification.registry import register
 from verification.roles_sql import big, count_if, rnd, with_roles
 
@@ -72,13 +73,13 @@ register(
 # ---- keys
 
 
-def _key_sql(role: str) -> str:
+def _key_sql(role: str, source: str | None = None) -> str:
     keys = ", ".join(RULES[role].key)
     any_null = " OR ".join(f"{k} IS NULL" for k in RULES[role].key)
     return f"""SELECT '{role}' AS dataset, {big("coalesce(sum(CASE WHEN n > 1 THEN n END), 0)")} AS duplicate_rows,
   {count_if("n > 1")} AS duplicate_keys, {big("coalesce(sum(n - 1), 0)")} AS surplus_rows,
   {big(f"coalesce(sum(CASE WHEN {any_null} THEN n END), 0)")} AS null_key_rows
-FROM (SELECT {keys}, count(*) AS n FROM {sql_name(role)} GROUP BY {keys})"""
+FROM (SELECT {keys}, count(*) AS n FROM {source or sql_name(role)} GROUP BY {keys})"""
 
 
 def _keys(roles):
@@ -108,13 +109,12 @@ def _violations(check: str):
     return query
 
 
-def _column_sql(check: str, conditions: dict[str, dict[str, str]]) -> str:
-    parts = [
-        f"SELECT '{n}' AS dataset, '{check}' AS \"check\", '{c}' AS \"column\", {count_if(cond)} AS violations FROM {sql_name(n)}"
-        for n, cols in conditions.items()
+def _column_sql(check: str, source) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{n}' AS dataset, '{check}' AS \"check\", '{c}' AS \"column\", {count_if(cond)} AS violations FROM {source(n)}"
+        for n, cols in CONDITIONS[check].items()
         for c, cond in cols.items()
-    ]
-    return with_roles("\nUNION ALL ".join(parts))
+    )
 
 
 def _bound_sql(c: str, b) -> str:
@@ -123,35 +123,22 @@ def _bound_sql(c: str, b) -> str:
     return " OR ".join(tests)
 
 
-register(
-    "dq_nulls",
-    _violations("nullable_fields"),
-    _column_sql("nullable_fields", {n: {c: f"{c} IS NULL" for c in RULES[n].required} for n in PIPELINE_DATASETS}),
-)
-register(
-    "dq_enum",
-    _violations("enum_fields"),
-    _column_sql(
-        "enum_fields",
-        {n: {c: f"{c} NOT IN ({quoted(v)})" for c, v in RULES[n].enums.items()} for n in PIPELINE_DATASETS},
-    ),
-)
-register(
-    "dq_numeric",
-    _violations("numeric_constraints"),
-    _column_sql(
-        "numeric_constraints",
-        {n: {c: _bound_sql(c, b) for c, b in RULES[n].bounds.items()} for n in PIPELINE_DATASETS},
-    ),
-)
-register(
-    "dq_dates",
-    _violations("date_fields"),
-    _column_sql(
-        "date_fields",
-        {n: {c: f"{c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS TIMESTAMP) IS NULL" for c in RULES[n].date_fields} for n in PIPELINE_DATASETS},
-    ),
-)
+CONDITIONS = {
+    "nullable_fields": {n: {c: f"{c} IS NULL" for c in RULES[n].required} for n in PIPELINE_DATASETS},
+    "enum_fields": {n: {c: f"{c} NOT IN ({quoted(v)})" for c, v in RULES[n].enums.items()} for n in PIPELINE_DATASETS},
+    "numeric_constraints": {n: {c: _bound_sql(c, b) for c, b in RULES[n].bounds.items()} for n in PIPELINE_DATASETS},
+    "date_fields": {
+        n: {c: f"{c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS TIMESTAMP) IS NULL" for c in RULES[n].date_fields}
+        for n in PIPELINE_DATASETS
+    },
+}
+for _name, _check in {
+    "dq_nulls": "nullable_fields",
+    "dq_enum": "enum_fields",
+    "dq_numeric": "numeric_constraints",
+    "dq_dates": "date_fields",
+}.items():
+    register(_name, _violations(_check), with_roles(_column_sql(_check, sql_name)))
 
 
 # ---- domain checks
@@ -185,9 +172,14 @@ DOMAIN = {
 }
 
 
-def _domain(role: str, check: str):
+def _domain_sql(role: str, check: str, conds: list[str], source: str) -> str:
+    found = " + ".join(count_if(c) for c in conds)
+    return f"SELECT '{check}' AS \"check\", count(*) AS \"rows\", {found} AS violations FROM {source}"
+
+
+def _domain(role: str, check: str, tables=raw_tables):
     def query(m):
-        df = raw_tables(m)[role]
+        df = tables(m)[role]
         hits = next(c for c in Q.domain_checks(role, df) if c.name == check).hits
         counts = [F.count(F.when(h, 1)) for h in hits]
         return df.agg(
@@ -198,15 +190,7 @@ def _domain(role: str, check: str):
 
 
 for _name, (_role, _check, _conds) in DOMAIN.items():
-    register(
-        _name,
-        _domain(_role, _check),
-        with_roles(
-            f"SELECT '{_check}' AS \"check\", count(*) AS \"rows\", "
-            + " + ".join(count_if(c) for c in _conds)
-            + f" AS violations FROM {sql_name(_role)}"
-        ),
-    )
+    register(_name, _domain(_role, _check), with_roles(_domain_sql(_role, _check, _conds, sql_name(_role))))
 
 register(
     "dq_fk_orders_customer",
@@ -363,3 +347,51 @@ register(
         + " OR ".join(f"coalesce({s}, FALSE)" for s in SEQUENCE)
     ),
 )
+
+# ---- the same checks on data with violations of each kind
+
+DIRT = dirty.role_sql({n: sql_name(n) for n in PIPELINE_DATASETS})
+
+
+def dirty_tables(m) -> dict[str, DataFrame]:
+    return dirty.roles(raw_tables(m))
+
+
+def _dirty_name(role: str) -> str:
+    return f"d_{role}"
+
+
+register(
+    "dq_dirty_columns",
+    lambda m: union_reports([Q.column_violations(n, t) for n, t in dirty_tables(m).items()]).filter(F.col("check").isin(*CONDITIONS)),
+    with_roles("\nUNION ALL ".join(_column_sql(c, _dirty_name) for c in CONDITIONS), DIRT),
+)
+register(
+    "dq_dirty_domain",
+    lambda m: union_reports([_domain(r, c, dirty_tables)(m) for r, c, _ in DOMAIN.values()]),
+    with_roles("\nUNION ALL ".join(_domain_sql(r, c, conds, _dirty_name(r)) for r, c, conds in DOMAIN.values()), DIRT),
+)
+register(
+    "dq_dirty_keys",
+    lambda m: union_reports(
+        [Q.key_violations(dirty_tables(m)[r], list(RULES[r].key)).select(F.lit(r).alias("dataset"), "*") for r in [*PK, *CK]]
+    ),
+    with_roles("\nUNION ALL ".join(_key_sql(r, _dirty_name(r)) for r in [*PK, *CK]), DIRT),
+)
+register(
+    "dq_dirty_orphans",
+    lambda m: Q.orphan_count(dirty_tables(m)["orders"], "customer_id", m.customers),
+    with_roles(
+        # An order without a customer has no parent either.
+        "SELECT count(*) AS violations FROM d_orders o WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = o.customer_id)",
+        {"d_orders": DIRT["d_orders"]},
+    ),
+)
+register(
+    "dq_dirty_breaker",
+    lambda m: Q.overall_status(Q.quality_summary(Q.quality_batch(dirty_tables(m)))).select("can_continue"),
+    with_roles(
+        "SELECT (SELECT count(*) FROM d_customers WHERE customer_id IS NULL) + (SELECT count(*) FROM d_orders WHERE order_id IS NULL) = 0 AS can_continue",
+        {n: DIRT[n] for n in ("d_customers", "d_orders")},
+    ),
+)
