@@ -1,10 +1,13 @@
 """Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
 
-Every stretch of a test item lends its rarest n-gram (by documents of the corpus that hold it) as
-a seed: rare within the item, so that an item whose passage is all over the corpus still has
-seeds. A seed found in a document leads to a passage about as long as the item. Passages that share
-too few words with the item to reach the score are passed over; the rest are aligned word by word
-with Smith-Waterman, so that edited and paraphrased copies score by how much of the item they keep.
+Every n-gram of a test item that at most COMMON documents hold is a seed, so that an edited copy is
+found by any run of words that its edits spare. So is every n-gram that is no more frequent than is
+usual for its item: the n-grams of a passage that is all over the corpus are frequent with it. Of the
+rest, phrases more frequent than their item, every stretch lends the rarest. N-grams that no document
+holds find nothing and are left out. A seed found in a document leads to a passage about as long as
+the item. Passages that share too few words with the item to reach the score are passed over; the rest are
+aligned word by word with Smith-Waterman, so that edited and paraphrased copies score by how much of
+the item they keep.
 
 Documents are never shuffled: the test items are a query set held by every task, in slices of
 bounded size, and all documents are read once per slice to count and once to align.
@@ -26,7 +29,10 @@ from marketlens.llm.common import without
 from marketlens.llm.words import Words, chunks, inside, windows
 
 SEED_WORDS = 3
-STRETCH = 6  # n-grams of an item that lend one seed
+COMMON = 1000  # documents; n-grams that no more hold are all seeds
+USUAL = 2  # times the median of its item's n-grams: what a seed may be held by in any case
+STRETCH = 6  # n-grams of an item of which the more frequent rest lends SPARE seeds
+SPARE = 3
 LEAST = 0.5  # of the score of a verbatim copy
 MATCH, MISMATCH, GAP = 2, -1, -1
 SLICE_BYTES = 16 << 20  # of item texts held at once
@@ -57,16 +63,26 @@ class Items:
         return hit, near[hit]
 
     def seeds(self, documents: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """Place in ``sorted`` -> (item, word of the item) of the chosen n-grams."""
+        """Place in ``sorted`` -> (item, word of the item) of the chosen n-grams, given how many
+        documents hold each."""
         place = np.searchsorted(self.sorted, self.grams)
         item = self.words.doc[self.at]
         inner = self.at - self.words.first[item]
-        chosen: dict[tuple[int, int], int] = {}
-        for k in np.lexsort((inner, documents[place])).tolist():  # rarest first
-            chosen.setdefault((int(item[k]), int(inner[k]) // STRETCH), k)
+        held = documents[place]
+        usual = np.zeros(len(self.ids))
+        cuts = np.searchsorted(item, np.arange(len(self.ids) + 1))
+        for i in np.flatnonzero(np.diff(cuts)):
+            usual[i] = USUAL * np.median(held[cuts[i] : cuts[i + 1]])
+        seed = (held > 0) & (held <= np.maximum(COMMON, usual[item]))
+        lent: dict[tuple[int, int], int] = defaultdict(int)
+        rest = np.flatnonzero((held > 0) & ~seed)
+        for k in rest[np.lexsort((inner[rest], held[rest]))].tolist():  # rarest first
+            stretch = int(item[k]), int(inner[k]) // STRETCH
+            seed[k] = lent[stretch] < SPARE
+            lent[stretch] += 1
         out: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for (i, _), k in chosen.items():
-            out[int(place[k])].append((i, int(inner[k])))
+        for k in np.flatnonzero(seed).tolist():
+            out[int(place[k])].append((int(item[k]), int(inner[k])))
         return out
 
     def item(self, i: int) -> np.ndarray:

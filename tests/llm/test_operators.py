@@ -241,6 +241,32 @@ def test_alignment_finds_edited_copies(spark, odd):
     assert seed_alignment.contaminated(odd, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("common", [1000, 0])
+def test_alignment_finds_copies_with_every_nth_word_replaced(spark, common, monkeypatch):
+    monkeypatch.setattr(seed_alignment, "COMMON", common, raising=False)
+    r = random.Random(11)
+    items = [(i, words(r, r.randint(16, 59))) for i in range(12)]
+    texts = []
+    for _, text in items:
+        for every in range(4, 9):
+            w = text.split()
+            for k in range(r.randrange(every), len(w), every):
+                w[k] = f"new{k}"
+            texts.append(words(r, 20) + " " + " ".join(w) + " " + words(r, 20))
+    texts += [text for _, text in items[:3]]  # verbatim besides
+    want = set()
+    for d, text in enumerate(texts):
+        passage = seed_alignment.Words([text.encode()]).hashes
+        for i, item in items:
+            own = seed_alignment.Words([item.encode()]).hashes
+            if seed_alignment.align(own, passage)[0] >= seed_alignment.LEAST * seed_alignment.MATCH * len(own):
+                want.add((d, i))
+    assert len(want) > 55
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = seed_alignment.contaminated(table(spark, list(enumerate(texts))), bench).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == want
+
+
 def test_smith_waterman_matches_the_plain_recurrence():
     rng = np.random.default_rng(8)
     for _ in range(30):
