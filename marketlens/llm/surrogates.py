@@ -39,15 +39,16 @@ SYLLABLES = {
 }
 
 _TITLES = "|".join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True))
-#: Types in the order in which they are tried.
+#: Types in the order in which they are tried. A value is taken to its end, however long; a secret does
+#: not end in a full stop, nor take the first part of a mail address.
 PATTERNS: Mapping[str, str] = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}",
-    "secret": r"\b(?i:token|api[_-]?key|secret|password)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_/+-]{8,128}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){1,126}",
+    "secret": r"\b(?i:token|api[_-]?key|secret|password)\s{0,3}[=:]\s{0,3}[\"']?(?![\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++\.)[A-Za-z0-9_/+.=~-]{7,}[A-Za-z0-9_/+=~-]",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]{0,2}\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     "national": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "phone": r"(?<!\d)(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)",
-    "name": rf"\b(?:{_TITLES})\b\.? \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}})?",
+    "name": rf"\b(?:{_TITLES})\b\.? \p{{Lu}}\p{{Ll}}++(?: \p{{Lu}}\p{{Ll}}++)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What no text without a mention of these types can do without.

@@ -319,6 +319,22 @@ def test_surrogates_keep_format_identity_and_distinctness(spark, odd):
     assert edge[1] == (None, 0) and edge[6] == ("7 + 8 = 15", 0) and surrogates.pseudonymised(odd.limit(0), "k").count() == 0
 
 
+def test_surrogates_take_long_values_to_their_end(spark):
+    r = random.Random(12)
+    draw = lambda n: "".join(r.choice("abcdefghijkmnpqrstuvwxyz23456789") for _ in range(n))
+    token, local, jwt = "Z" + draw(499), draw(80), f"eyJ{draw(30)}.eyJ{draw(200)}.{draw(40)}~{draw(9)}=="
+    name = "M" + "abcdefgh" * 5
+    texts = [f"token={token}.", f"mail {local}@example.com now", f"secret: {jwt}", f"Mr. {name} came", f"token={token}", f"password={local}@example.com"]
+    got = {x.doc_id: x for x in surrogates.pseudonymised(table(spark, list(enumerate(texts))), "k").collect()}
+    assert all(x.n_replaced == 1 for x in got.values())
+    for i, old in enumerate((token, local, jwt, name)):
+        assert not any(old[k : k + 8] in got[i].text for k in range(len(old) - 7)), i
+    assert got[0].text == got[4].text + "." and len(got[0].text) == len(texts[0])
+    assert re.fullmatch(r"mail \w{80}@[a-z]{7}\.com now", got[1].text)
+    assert re.fullmatch(r"secret: \w{33}\.\w{203}\.\w{40}~\w{9}==", got[2].text)
+    assert got[5].text == "password=" + got[1].text.split()[1]
+
+
 def test_surrogates_stay_distinct_when_a_format_is_crowded(spark):
     nets = spark.range(3000).select(F.lit("ip").alias("kind"), F.concat_ws(".", F.lit("10"), F.lit("0"), F.floor(F.col("id") / 250), F.col("id") % 250).alias("entity"))
     names = spark.range(3000).select(F.lit("name").alias("kind"), F.concat(F.lit("n"), "id").alias("entity"))
