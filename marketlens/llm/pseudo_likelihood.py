@@ -7,8 +7,8 @@ a document is its score.
 
 Words are hashed into buckets, so the network has a fixed size. Counts of all buckets over all
 documents make the classes: buckets by frequency, cut into classes of equal mass. Training is
-data-parallel: in every round each task trains its own copy on its documents (a share of the words
-masked, as targets), and the copies are averaged by their number of targets, block by block, in two
+data-parallel: in every round each task trains its own copy on its documents (every word is a target
+once, in one of several turns of masking), and the copies are averaged by their number of targets, block by block, in two
 levels of grouping. Each document is trained on in one round.
 """
 
@@ -29,7 +29,7 @@ BUCKETS = 1 << 15
 CLASSES = 128
 WIDTH = 16  # of an embedding
 SIDE = 3  # neighbours on either side
-MASKED = 8  # one word in so many is a target while training
+MASKED = 8  # turns in which a text's words are targets while training, each word in one of them
 ROUNDS = 2
 BATCH = 1024
 RATE = 0.15
@@ -158,14 +158,15 @@ def _trained(net: Network, salts: int):
         for _, texts in chunks(batches, 0):
             words = Words([t.lower() for t in texts])
             ids = buckets(words)
-            # Which words are masked depends on the word and its place alone, so a retry masks the same.
+            # When a word is masked depends on the word and its place alone, so a retry masks the same.
             spot = mixed(words.hashes ^ (np.arange(len(ids)) - words.first[words.doc]).astype(np.uint64))
-            masked = np.flatnonzero(spot % np.uint64(MASKED) == 0)
-            masked = masked[np.argsort(spot[masked], kind="stable")]
-            for a in range(0, len(masked), BATCH):
-                at = masked[a : a + BATCH]
-                train(net, flat, squares, neighbours(words, ids, at), ids[at])
-            n += len(masked)
+            for turn in range(MASKED):
+                masked = np.flatnonzero(spot % np.uint64(MASKED) == turn)
+                masked = masked[np.argsort(spot[masked], kind="stable")]
+                for a in range(0, len(masked), BATCH):
+                    at = masked[a : a + BATCH]
+                    train(net, flat, squares, neighbours(words, ids, at), ids[at])
+            n += len(ids)
             mark ^= int(spot[0]) if len(spot) else 0
         if n:
             for block, a in enumerate(range(0, len(flat), BLOCK)):

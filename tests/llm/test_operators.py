@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -294,6 +295,17 @@ def test_pseudo_likelihood_prefers_the_language_it_learned(spark, odd):
     assert pseudo_likelihood.learn(odd.limit(0)).flat.size == net.flat.size
 
 
+def test_every_word_is_a_target_of_training_once(monkeypatch):
+    seen: list[int] = []
+    monkeypatch.setattr(pseudo_likelihood, "train", lambda net, flat, squares, around, target: seen.extend(target.tolist()))
+    texts = [words(random.Random(i), 50) for i in range(7)]
+    net = pseudo_likelihood.start(np.zeros(pseudo_likelihood.BUCKETS, dtype=np.int64))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    copies = list(pseudo_likelihood._trained(net, 1)(iter([batch])))
+    assert sorted(seen) == sorted(pseudo_likelihood.buckets(pseudo_likelihood.Words([t.encode() for t in texts])).tolist())
+    assert {w for c in copies for w in c.column("weight").to_pylist()} == {350.0}
+
+
 def test_surrogates_keep_format_identity_and_distinctness(spark, odd):
     texts = [
         "Mr. John Smith wrote a.b@mail5.example.com and A.B@MAIL5.EXAMPLE.COM from 10.0.0.1, call +1 (743) 555-3824.",
