@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlens.llm import language_filters, pseudo_likelihood, toxic_lexicon
 from marketlens.llm.block_naming import exact_groups
 from marketlens.llm.common import documents, table
 from marketlens.llm.oracles import ORACLES
+from marketlens.llm.merkle_manifest import manifest, without_line_breaks
 from marketlens.llm.packing import packed
+from marketlens.llm.reversed_search import ranked
 from marketlens.llm.seed_alignment import contaminated
 from marketlens.llm.simhash_anchors import near_duplicates
 from marketlens.llm.suffix_groups import repeated_words_removed
 from marketlens.llm.surrogates import pseudonymised
+from marketlens.llm.token_counts import token_counts
 from marketlens.llm.url_rules import Given, judged
 
 #: The block and allow lists of the url query.
@@ -35,6 +39,12 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_lm_scoring(spark: SparkSession, base: str) -> DataFrame:
     docs = documents(spark, base)
     return pseudo_likelihood.scored(docs, pseudo_likelihood.learn(docs))
@@ -80,6 +90,18 @@ def op10_packing(spark: SparkSession, base: str) -> DataFrame:
     return packed(documents(spark, base), vocabulary())
 
 
+def op11_token_counts(spark: SparkSession, base: str) -> DataFrame:
+    return token_counts(documents(spark, base), piece_model)
+
+
+def op12_merkle_manifest(spark: SparkSession, base: str) -> DataFrame:
+    return manifest(documents(spark, base), without_line_breaks(F.col("doc_id"), F.col("text")))
+
+
+def op13_reversed_search(spark: SparkSession, base: str) -> DataFrame:
+    return ranked(documents(spark, base), table(spark, base, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
@@ -91,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_surrogates": op8_surrogates,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
+    "op11_token_counts": op11_token_counts,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_reversed_search": op13_reversed_search,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
