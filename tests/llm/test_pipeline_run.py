@@ -21,4 +21,4 @@ def test_stages_keep_the_columns_and_shrink(spark):
 
 def test_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and sum(x.startswith("op") and x[2].isdigit() for x in names) == 10
+    assert "pipeline" in names and sum(x.startswith("op") and x[2].isdigit() for x in names) == 13
