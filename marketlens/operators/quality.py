@@ -330,15 +330,20 @@ def require_no_critical(summary: DataFrame) -> None:
 # ---- rows ----------------------------------------------------------------------------------
 
 
-def with_violations(name: str, df: DataFrame, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Every row with ``_violations``, the names of the row-level checks it fails."""
+def with_violations(
+    name: str, df: DataFrame, parents: Mapping[str, DataFrame] | None = None, unique_keys: bool = True
+) -> DataFrame:
+    """Every row with ``_violations``, the names of the row-level checks it fails.
+
+    With ``unique_keys`` all rows of a repeated key fail.
+    """
     rules, parents = RULES[name], parents or {}
     found = [
         F.when(reduce(Column.__or__, c.hits), F.lit(c.name)) for c in row_checks(name, df) if c.marks and c.hits
     ]
     out = df
     keys = [k for k in rules.key if k in df.columns]
-    if keys and len(keys) == len(rules.key):
+    if unique_keys and keys and len(keys) == len(rules.key):
         # Repeated keys are joined back, not counted in a window: a key shared by a third of
         # all rows is one row on the small side.
         again = repeated_keys(df, keys).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.lit(True).alias("_again"))
