@@ -136,12 +136,16 @@ class ClvRun:
     best: str
     features: DataFrame
 
+    @property
+    def chosen(self) -> Regressor | Hurdle:
+        return self.models[self.best]
+
     def importance(self, top: int = 20) -> DataFrame:
-        return importances(self.features, self.models[self.best].weights, feature_names(self.encoder), top)
+        return importances(self.features, self.chosen.weights, feature_names(self.encoder), top)
 
     def score_all(self) -> DataFrame:
         """Every customer scored with the train-fitted encoder, with the error."""
-        scored = self.models[self.best].predict(encode(self.encoder, self.features), "predicted_clv").drop("features")
+        scored = self.chosen.predict(encode(self.encoder, self.features), "predicted_clv").drop("features")
         scored = scored.withColumn("predicted_clv", F.round("predicted_clv", 2))
         return scored.withColumn("clv_error", F.round(F.col("predicted_clv") - F.col(TARGET), 2))
 

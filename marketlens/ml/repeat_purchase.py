@@ -175,13 +175,17 @@ class RepeatRun:
     threshold: float
     features: DataFrame
 
+    @property
+    def chosen(self):
+        return self.models[self.best]
+
     def importance(self, top: int = 20) -> DataFrame:
-        return importances(self.features, self.models[self.best], feature_names(self.encoder), top)
+        return importances(self.features, self.chosen, feature_names(self.encoder), top)
 
     def score_all(self) -> DataFrame:
         """Every customer with a probability and the label at the frozen threshold."""
         rows = encode(self.encoder, self.features)
-        out = scored(self.models[self.best], rows).drop("features")
+        out = scored(self.chosen, rows).drop("features")
         return out.withColumn("predicted_repeat_buyer", (F.col("score") >= self.threshold).cast("int")).withColumn(
             "repeat_purchase_probability", F.round("score", 4)
         ).drop("score")

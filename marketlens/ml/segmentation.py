@@ -23,24 +23,39 @@ SCALED = ["z_recency", "z_frequency", "z_monetary"]
 CLUSTERS = 4
 
 
-def preprocess(features: DataFrame) -> DataFrame:
-    """Fill gaps (medians; frequency 1), log1p, then z-scores by population deviation."""
-    out = features
+def scaling(features: DataFrame) -> DataFrame:
+    """What the scaling learns, as one row: medians for gaps, means and population deviations of the logs."""
+    row = None
     for c in ("recency_days", "monetary_value"):
-        mid = quantiles(features, c, {"_mid": 0.5})
-        out = out.crossJoin(F.broadcast(mid)).withColumn(c, F.coalesce(c, "_mid")).drop("_mid")  # one row
+        mid = quantiles(features, c, {f"mid_{c}": 0.5})
+        row = mid if row is None else row.crossJoin(F.broadcast(mid))  # one row each
+    row = stored(row, "medians")
+    level = _logs(features, row).agg(
+        *[F.avg(c).alias(f"mean_{c}") for c in LOGS], *[F.stddev_pop(c).alias(f"dev_{c}") for c in LOGS]
+    )
+    return stored(row.crossJoin(F.broadcast(level)), "scaling")
+
+
+def _logs(features: DataFrame, learnt: DataFrame) -> DataFrame:
+    out = features.crossJoin(F.broadcast(learnt))  # one row
+    out = out.withColumns({c: F.coalesce(c, f"mid_{c}") for c in ("recency_days", "monetary_value")})
     out = out.withColumn("frequency_orders", F.coalesce("frequency_orders", F.lit(1)))
-    out = out.withColumns({log: F.log1p(F.col(c)) for log, c in LOGS.items()})
-    level = out.agg(
-        *[F.avg(c).alias(f"_m_{c}") for c in LOGS], *[F.stddev_pop(c).alias(f"_s_{c}") for c in LOGS]
-    )  # one row
+    return out.withColumns({log: F.log1p(F.col(c)) for log, c in LOGS.items()})
+
+
+def scaled_by(features: DataFrame, learnt: DataFrame) -> DataFrame:
+    """Gaps filled (medians; frequency 1), log1p, then z-scores, all as ``scaling`` learnt them."""
     # A constant column has deviation 0 and is only centred.
     z = {
-        name: (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") > 0, F.col(f"_s_{c}")).otherwise(1.0)
+        name: (F.col(c) - F.col(f"mean_{c}")) / F.when(F.col(f"dev_{c}") > 0, F.col(f"dev_{c}")).otherwise(1.0)
         for name, c in zip(SCALED, LOGS)
     }
-    scaled = out.crossJoin(F.broadcast(level)).withColumns(z)
-    return scaled.drop(*[f"_m_{c}" for c in LOGS], *[f"_s_{c}" for c in LOGS])
+    return _logs(features, learnt).withColumns(z).drop(*learnt.columns)
+
+
+def preprocess(features: DataFrame) -> DataFrame:
+    """The features with logs and z-scores, by their own scaling."""
+    return scaled_by(features, scaling(features))
 
 
 def with_vector(scaled: DataFrame) -> DataFrame:
@@ -52,8 +67,12 @@ STARTS = 10
 
 def fit_kmeans(vectors: DataFrame, k: int, starts: int = STARTS) -> KMeansModel:
     """The model with the least inertia of several starts."""
-    fits = [KMeans(k=k, seed=SEED + i, maxIter=100, predictionCol="cluster").fit(vectors) for i in range(starts)]
-    return min(fits, key=lambda model: model.summary.trainingCost)
+
+    def fit(i: int) -> KMeansModel:
+        return KMeans(k=k, seed=SEED + i, maxIter=100, predictionCol="cluster").fit(vectors)
+
+    fits = concurrently({str(i): (lambda i=i: fit(i)) for i in range(starts)})
+    return min(fits.values(), key=lambda model: model.summary.trainingCost)
 
 
 def cluster_quality(assigned: DataFrame) -> DataFrame:
@@ -140,24 +159,37 @@ def cluster_profiles(assigned: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Segmentation:
+    """``names``: cluster (of the model), cluster_id and cluster_description, one row per cluster."""
+
     model: KMeansModel
+    learnt: DataFrame
+    names: DataFrame
     segments: DataFrame
     profiles: DataFrame
 
 
+def assigned_by(model: KMeansModel, learnt: DataFrame, names: DataFrame, features: DataFrame) -> DataFrame:
+    """Each row with the cluster of the nearest centre, scaled as the model's own rows were."""
+    rows = model.transform(with_vector(scaled_by(features, learnt))).drop("features")
+    return rows.join(F.broadcast(names), "cluster").drop("cluster", *LOGS, *SCALED)  # k rows
+
+
 def segment(features: DataFrame, k: int = CLUSTERS) -> Segmentation:
     """K-means with ids ordered by mean recency, then revenue, so labels are stable."""
-    vectors = stored(with_vector(preprocess(features)), "vectors")
+    learnt = scaling(features)
+    vectors = stored(with_vector(scaled_by(features, learnt)), "vectors")
     model = fit_kmeans(vectors, k)
     assigned = stored(model.transform(vectors).drop("features"), "segments")
     order = assigned.groupBy("cluster").agg(F.avg("recency_days").alias("r"), F.avg("total_revenue").alias("m"))
     ids = order.select(
         "cluster", (F.row_number().over(Window.orderBy("r", "m", "cluster")) - 1).cast("long").alias("cluster_id")
     )  # k rows
-    labelled = assigned.join(F.broadcast(ids), "cluster").drop("cluster")
-    profiles = cluster_profiles(labelled)
-    names = profiles.select("cluster_id", F.col("business_description").alias("cluster_description"))
-    return Segmentation(model, labelled.join(F.broadcast(names), "cluster_id"), profiles)
+    labelled = assigned.join(F.broadcast(ids), "cluster")
+    profiles = stored(cluster_profiles(labelled), "profiles")
+    names = ids.join(profiles.select("cluster_id", F.col("business_description").alias("cluster_description")), "cluster_id")
+    names = stored(names, "cluster-names")
+    segments = labelled.drop("cluster").join(F.broadcast(names.drop("cluster")), "cluster_id")
+    return Segmentation(model, learnt, names, segments, profiles)
 
 
 def persona_counts(segments: DataFrame) -> DataFrame:

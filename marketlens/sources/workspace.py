@@ -67,7 +67,8 @@ def concurrently(jobs: Mapping[str, Callable[[], T]], width: int = 8) -> dict[st
 
     The first failure is raised after the started jobs have ended.
     """
-    inherit = inheritable_thread_target(SparkSession.getActiveSession())
+    # A thread of another such call has no session of its own.
+    inherit = inheritable_thread_target(SparkSession.getActiveSession() or SparkSession.builder.getOrCreate())
     with ThreadPoolExecutor(max_workers=max(1, min(width, len(jobs)))) as pool:
         running = {name: pool.submit(inherit(job)) for name, job in jobs.items()}
     return {name: future.result() for name, future in running.items()}

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.ml import clv, encoding, repeat_purchase, scoring, segmentation
+from marketlens.ml import clv, encoding, repeat_purchase, segmentation
 
 
 def temporal(spark, n=240):
@@ -36,10 +36,6 @@ def test_clv_run_picks_the_lowest_mae_and_scores_everyone(spark):
     scored = run.score_all()
     assert scored.count() == 240 and scored.filter("predicted_clv < 0").count() == 0
     assert run.importance(5).count() == 5
-    requests = spark.createDataFrame([("a", 3, None), ("b", -1, 9.0)], "request_id string, customer_id long, recency_days double")
-    got = {r["request_id"]: r for r in scoring.score_clv_requests(requests, run, scored).collect()}
-    assert got["a"]["source"] == "table" and got["b"]["source"] == "model"
-    assert got["a"]["predicted_clv"] == scored.filter("customer_id = 3").first()["predicted_clv"]
 
 
 def scored_rows(spark):

@@ -4,8 +4,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from marketlens.ml import clv, encoding, repeat_purchase, scoring, segmentation
-from marketlens.sources.workspace import shared_dir, stored
+from marketlens.ml import clv, encoding, repeat_purchase, scoring, segmentation, store as models
+from marketlens.sources.workspace import concurrently, shared_dir, stored
 from verification.feature_queries import FEATURES_SQL, TEMPORAL, TEMPORAL_SQL, store, temporal
 from verification.registry import register
 from verification.roles_sql import quant, rnd, with_roles
@@ -183,7 +183,7 @@ register("rp_score_all", lambda m: _repeat_run(m).score_all())
 def _export(m):
     run = _clv_run(m)
     path = f"{shared_dir(run.features.sparkSession)}/clv-export-{uuid.uuid4().hex}"
-    scoring.export_clv(run, path)
+    models.export_clv(run, path)
     return run.features.sparkSession.read.parquet(f"{path}/predictions.parquet").select("customer_unique_id", "predicted_clv")
 
 
@@ -198,9 +198,58 @@ def _requests(m):
     return known.union(fresh)
 
 
+def _models(m) -> tuple[scoring.Models, scoring.Models]:
+    """The three fitted models, as fitted and as loaded again from a store."""
+    spark = m.orders.sparkSession
+    path = f"{shared_dir(spark)}/models-{uuid.uuid4().hex}"
+    runs = concurrently(
+        {"clv": lambda: _clv_run(m), "repeat": lambda: _repeat_run(m), "segments": lambda: segmentation.segment(stored(store(m), "store"))}
+    )
+    models.export_all(runs["clv"], runs["repeat"], runs["segments"], path)
+    return models.fitted(runs["clv"], runs["repeat"], runs["segments"]), models.load_models(spark, path)
+
+
 def _score_batch(m):
-    run = _clv_run(m)
-    return scoring.score_clv_requests(stored(_requests(m), "requests"), run, run.score_all())
+    """Requests scored with the loaded models, next to what the fitted ones give."""
+    fitted, loaded = _models(m)
+    requests = stored(_requests(m), "requests")
+    one, other = (scoring.score_requests(requests, x) for x in (loaded, fitted))
+    answers = [c for c in one.columns if c != "request_id"]
+    other = other.select("request_id", F.struct(*answers).alias("fitted"))
+    named = F.col("cluster_description").isin(*PERSONAS)
+    return one.join(other, "request_id").select(
+        "request_id",
+        "segment_source",
+        "clv_source",
+        "repeat_source",
+        (F.struct(*answers) == F.col("fitted")).alias("same_as_fitted"),
+        (F.col("cluster_id").between(0, segmentation.CLUSTERS - 1) & named).alias("segment_valid"),
+        (F.col("predicted_clv") >= 0).alias("clv_valid"),
+        F.col("repeat_purchase_probability").between(0, 1).alias("chance_valid"),
+    )
+
+
+PERSONAS = [
+    "Loyal Repeat Buyers",
+    "Recent / Promising One-Time Buyers",
+    "At-Risk High-Value Single-Order Buyers",
+    "Hibernating Low-Value Casuals",
+    "Mid-Tier Occasional Buyers",
+]
 
 
-register("score_payload_batch", _score_batch)
+def _source(known: str) -> str:
+    return f"CASE WHEN {known} THEN 'table' ELSE 'model' END"
+
+
+# Half of the requests name a customer, half an id that no table has.
+register(
+    "score_payload_batch",
+    _score_batch,
+    with_roles(
+        f"""SELECT request_id, {_source("known")} AS segment_source, {_source("known")} AS clv_source, {_source("known")} AS repeat_source,
+  TRUE AS same_as_fitted, TRUE AS segment_valid, TRUE AS clv_valid, TRUE AS chance_valid
+FROM (SELECT 'k' || customer_unique_id AS request_id, TRUE AS known FROM tf UNION ALL SELECT 'f' || customer_unique_id, FALSE FROM tf)""",
+        TEMP,
+    ),
+)
