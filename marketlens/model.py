@@ -20,6 +20,10 @@ ORDER_STATUSES = (
 PAYMENT_TYPES = "credit_card boleto voucher debit_card not_defined".split()
 
 
+#: A raw row's text, where the reader found too few or too many fields.
+MALFORMED = "_malformed"
+
+
 @dataclass(frozen=True)
 class Bounds:
     low: float | None = None

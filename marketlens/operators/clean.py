@@ -21,7 +21,7 @@ from marketlens.functions.exprs import (
     title_case,
     zero_pad,
 )
-from marketlens.model import RULES, DatasetRules
+from marketlens.model import MALFORMED, RULES, DatasetRules
 
 # The literal markers that mean "missing".
 MISSING_MARKERS = ["", "null", "NULL", "None", "NONE", "NaN", "nan", "N/A", "n/a"]
@@ -207,6 +207,7 @@ def review_flags(reviews: DataFrame) -> DataFrame:
 def transform_dataset(name: str, df: DataFrame, context: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """All generic steps, then the dataset's own, as one lazy plan."""
     rules, context = RULES[name], context or {}
+    df = df.drop(MALFORMED)
     out = clean_dedup(clean_numeric(clean_dates(clean_trim(clean_missing(df)), rules), rules), rules)
     if name == "customers":
         out = clean_customers(out)

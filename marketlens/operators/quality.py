@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.exprs import count_if, ratio
-from marketlens.model import ORDER_STATUSES, PIPELINE_DATASETS, RULES, STATES, DatasetRules
+from marketlens.model import MALFORMED, ORDER_STATUSES, PIPELINE_DATASETS, RULES, STATES, DatasetRules
 
 INFO, WARNING, ERROR, CRITICAL = "INFO", "WARNING", "ERROR", "CRITICAL"
 MAX_ERROR_RATE = 0.05
@@ -223,7 +223,7 @@ def missing_columns(df: DataFrame, rules: DatasetRules) -> list[str]:
 
 
 def unexpected_columns(df: DataFrame, rules: DatasetRules) -> list[str]:
-    return [c for c in df.columns if c not in rules.types]
+    return [c for c in df.columns if c not in rules.types and c != MALFORMED]
 
 
 def type_mismatches(df: DataFrame, rules: DatasetRules) -> list[str]:

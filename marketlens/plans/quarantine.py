@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.exprs import count_if
-from marketlens.model import RULES
+from marketlens.model import MALFORMED, RULES
 from marketlens.operators.clean import clean_missing, clean_trim
 from marketlens.operators.quality import FOREIGN_KEYS, MAX_ERROR_RATE, CircuitBreaker, number, with_violations
 from marketlens.sources.workspace import concurrently, shared_dir
@@ -69,7 +69,8 @@ def _with_orphans(name: str, checked: DataFrame, parents: Mapping[str, DataFrame
 
 
 def violations(name: str, raw: DataFrame, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """``raw`` with ``_violations``: row checks, null keys, text that is not the number it should be, orphans.
+    """``raw`` with ``_violations``: row checks, null keys, text that is not the number it should be, rows
+    that the reader found malformed, orphans.
 
     Repeated keys are no reason to set a row aside: the de-duplication keeps one of them.
     """
@@ -79,6 +80,8 @@ def violations(name: str, raw: DataFrame, parents: Mapping[str, DataFrame]) -> D
     own: list[Column] = [
         F.when(F.col(c).isNotNull() & number(c).isNull(), F.lit("malformed_numbers")) for c in rules.bounds if c in texts
     ]
+    if MALFORMED in raw.columns:
+        own.insert(0, F.when(F.col(f"_raw.{MALFORMED}").isNotNull(), F.lit("malformed_row")))
     keys = [F.col(k).isNull() for k in rules.key if k in checked.columns]
     if keys:
         own.append(F.when(reduce(Column.__or__, keys), F.lit("null_key")))

@@ -5,6 +5,7 @@ from marketlens.model import RULES
 from marketlens.operators.quality import CircuitBreaker
 from marketlens.plans import etl
 from marketlens.plans.manifest import Manifest
+from marketlens.plans.quarantine import route
 from marketlens.plans.reports import report
 from marketlens.sources import readers, writers
 from marketlens.sources.market import from_tables
@@ -129,6 +130,31 @@ def test_latin1_and_bom_files(spark, tmp_path):
     assert readers.read_csv(spark, str(bom)).first()["product_category_name"] == "construção"
 
 
+def test_encoding_is_found_per_file(spark, tmp_path):
+    """Files of one folder in two encodings read alike; malformed rows and files without rows are told."""
+    folder = tmp_path / "product_category_name_translation.csv"
+    folder.mkdir()
+    head = "product_category_name,product_category_name_english\n"
+    (folder / "a.csv").write_bytes((head + "construção,one\nçã,two,surplus\n").encode("latin-1"))
+    (folder / "b.csv").write_bytes((head + "construção,three\nlone\n").encode())
+    (folder / "with head.csv").write_bytes(head.encode())
+    (folder / "empty.csv").write_bytes(b"")
+    raw = readers.read_csv(spark, str(folder), malformed=True)
+    got = {r["product_category_name_english"]: r for r in raw.collect()}
+    assert got["one"]["product_category_name"] == got["three"]["product_category_name"] == "construção"
+    assert got["two"][readers.MALFORMED] == "çã,two,surplus" and got[None][readers.MALFORMED] == "lone"
+    assert readers.read_csv(spark, str(folder)).columns == head.strip().split(",")
+    load = readers.load_csv(spark, str(folder))
+    told = {r["file"].rsplit("/", 1)[-1]: (r["encoding"], r["rows"], r["malformed_rows"], r["status"]) for r in load.report.collect()}
+    assert told["a.csv"] == ("ISO-8859-1", 2, 1, "MALFORMED") and told["b.csv"] == ("UTF-8", 2, 1, "MALFORMED")
+    assert told["empty.csv"] == ("UTF-8", 0, 0, "EMPTY")
+    assert len(told) == 4 and next(v for k, v in told.items() if "head" in k) == ("UTF-8", 0, 0, "EMPTY")
+    # the pipeline sets malformed rows aside
+    routed = route("translations", load.frame)
+    assert routed.valid.count() == 2
+    assert {r["_violations"][-1] for r in routed.rejected.collect()} == {"malformed_row"}
+
+
 def test_part_files_are_ordered_by_number(spark):
     names = ["part-99999-a.parquet", "part-100000-a.parquet", "part-00007-a.parquet"]
     df = spark.createDataFrame([(n,) for n in names], "name string")

@@ -87,6 +87,60 @@ COUNTS = "\nUNION ALL ".join(f"SELECT '{n}' AS dataset, count(*) AS rows FROM {s
 register("src_all", _read_all, with_roles(COUNTS))
 
 
+# ---- raw files in two encodings, with malformed rows, a file without rows and one without a byte
+
+_FIELDS = list(RULES["customers"].types)
+
+
+def _raw_lines(m) -> DataFrame:
+    """Customers as lines of text, half of them in each encoding; some have a field too many or too few."""
+    city = F.concat(F.lit("São João "), "customer_city")
+    fields = F.concat_ws(",", "customer_id", "customer_unique_id", "customer_zip_code_prefix", city, "customer_state")
+    short = F.concat_ws(",", "customer_id", "customer_unique_id")
+    k = F.col("customer_id")
+    line = F.when(k % 50 == 1, F.concat(fields, F.lit(",surplus"))).when(k % 50 == 2, short).otherwise(fields)
+    return m.customers.select(F.when(k % 2 == 0, F.encode(line, "ISO-8859-1").cast("string")).otherwise(line).alias("line"), (k % 2).alias("half"))
+
+
+def _raw_files(m) -> str:
+    spark, lines = m.customers.sparkSession, _raw_lines(m)
+    path = f"{folder(spark)}/marketplace_customers_dataset.csv"
+    header = spark.range(1).select(F.lit(",".join(_FIELDS)).alias("line"))
+    for part in (lines.filter("half = 0"), lines.filter("half = 1"), lines.limit(0)):
+        header.union(part.select("line")).coalesce(1).write.mode("append").text(path)  # each with its header
+    spark.range(1).select(F.lit("")).limit(0).coalesce(1).write.mode("append").text(path)
+    return path
+
+
+def _load(m):
+    report = readers.load_csv(m.customers.sparkSession, _raw_files(m)).report
+    return report.groupBy("dataset", "encoding", "status", "columns").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("malformed_rows").alias("malformed_rows")
+    )
+
+
+register(
+    "src_csv_load",
+    _load,
+    with_roles(
+        f"""SELECT 'customers' AS dataset, CASE WHEN customer_id % 2 = 0 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding, 'MALFORMED' AS status,
+  {big("5")} AS columns, {big("1")} AS files, count(*) AS rows, count(*) FILTER (customer_id % 50 IN (1, 2)) AS malformed_rows FROM customers GROUP BY customer_id % 2
+UNION ALL SELECT 'customers', 'UTF-8', 'EMPTY', {big("5")}, {big("2")}, {big("0")}, {big("0")}"""
+    ),
+)
+register(
+    "src_csv_encodings",
+    lambda m: readers.read_csv(m.customers.sparkSession, _raw_files(m), malformed=True)
+    .filter(F.col(readers.MALFORMED).isNull())
+    .select(*_FIELDS),
+    with_roles(
+        """SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(customer_unique_id AS VARCHAR) AS customer_unique_id,
+  CAST(customer_zip_code_prefix AS VARCHAR) AS customer_zip_code_prefix, 'São João ' || customer_city AS customer_city, customer_state
+FROM customers WHERE customer_id % 50 NOT IN (1, 2)"""
+    ),
+)
+
+
 def _table(m):
     spark = m.products.sparkSession
     base = folder(spark)
