@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.exprs import count_if, dbl
 from marketlens.functions.ordering import running_totals
+from marketlens.sources.workspace import stored
 
 
 def normal_tail(z: Column) -> Column:
@@ -59,11 +60,42 @@ def _tie_sum() -> Column:
     return F.sum(n * n * n - n)
 
 
+#: The exact distribution of U is used if one side has at most this many rows, the product of both
+#: sides is at most EXACT_PAIRS, and no value is tied.
+EXACT_ROWS = 8
+EXACT_PAIRS = 20_000
+
+
+def exact_counts(n1: int, n2: int) -> list[int]:
+    """How many of the orders of n1 + n2 untied rows give each U from 0 to n1 * n2.
+
+    The generating function is a product of (1 - q^(n2 + i)) / (1 - q^i) over i = 1 .. n1; each factor
+    is one pass over the coefficients.
+    """
+    counts = [1] + [0] * (n1 * n2)
+    for i in range(1, n1 + 1):
+        for u in range(len(counts) - 1, n2 + i - 1, -1):
+            counts[u] -= counts[u - n2 - i]
+        for u in range(i, len(counts)):
+            counts[u] += counts[u - i]
+    return counts
+
+
+def exact_p(u: float, n1: int, n2: int, alternative: str) -> float:
+    """P(U <= u), or twice the smaller tail, if all orders are equally likely."""
+    counts = exact_counts(n1, n2)
+    below = round(u) if alternative == "less" else round(min(u, n1 * n2 - u))
+    tail = sum(counts[: below + 1]) / sum(counts)
+    return tail if alternative == "less" else min(1.0, 2.0 * tail)
+
+
 def mann_whitney(rows: DataFrame, value: str, first: Column, alternative: str = "two-sided") -> DataFrame:
-    """U of the rows where ``first`` holds against the others (normal approximation, tie and
-    continuity corrected), and the rank-biserial effect size 1 - 2U / (n1 n2).
+    """U of the rows where ``first`` holds against the others, and the rank-biserial effect size
+    1 - 2U / (n1 n2).
 
-    With an empty side, or only one distinct value, nothing can differ: p is 1.
+    ``method`` says where p comes from: ``exact`` for small samples without ties (see EXACT_ROWS), else
+    ``asymptotic``, the normal approximation with tie and continuity correction. With an empty side,
+    or only one distinct value, nothing can differ: p is 1.
     """
     ranked = _ranked(rows, value, {"in_first": first})
     v = dbl(value)
@@ -79,7 +111,7 @@ def mann_whitney(rows: DataFrame, value: str, first: Column, alternative: str =
     u, n = F.col("u_statistic"), n1 + n2
     mean = n1 * n2 / 2.0
     sigma = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
-    one = one.withColumn("u_statistic", F.col("rank_sum") - n1 * (n1 + 1) / 2.0)
+    one = stored(one.withColumn("u_statistic", F.col("rank_sum") - n1 * (n1 + 1) / 2.0), "mann-whitney")
     if alternative == "less":
         z = F.try_divide(n1 * n2 - u - mean - 0.5, sigma)
         p = normal_tail(F.col("z"))
@@ -88,6 +120,11 @@ def mann_whitney(rows: DataFrame, value: str, first: Column, alternative: str =
         p = F.least(F.lit(1.0), 2.0 * normal_tail(F.col("z")))
     else:
         raise ValueError(f"unknown alternative: {alternative}")
+    row = one.first()  # one row
+    a, b = row["n1"] or 0, row["n2"] or 0
+    exact = 0 < min(a, b) <= EXACT_ROWS and a * b <= EXACT_PAIRS and not row["ties"]
+    if exact:
+        p = F.lit(exact_p(row["u_statistic"], a, b, alternative))
     return (
         one.withColumn("z", z)
         .withColumn("p_value", F.coalesce(p, F.lit(1.0)))
@@ -100,6 +137,7 @@ def mann_whitney(rows: DataFrame, value: str, first: Column, alternative: str =
             "p_value",
             F.round(1.0 - F.try_divide(2.0 * u, n1 * n2), 4).alias("effect_size_rank_biserial"),
             (F.col("p_value") < 0.05).alias("statistically_significant"),
+            F.lit("exact" if exact else "asymptotic").alias("method"),
         )
     )
 

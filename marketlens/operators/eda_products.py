@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.exprs import (
@@ -14,7 +14,9 @@ from marketlens.functions.exprs import (
     pct,
 )
 from marketlens.functions.ordering import describe, quantiles
+from marketlens.functions.skew import join_by_frequency
 from marketlens.operators.reporting import rounded_stats, top_rows
+from marketlens.sources.workspace import stored
 
 DIMENSIONS = {
     "weight_g": "product_weight_g",
@@ -144,7 +146,11 @@ def revenue_per_product(items: DataFrame) -> DataFrame:
 
 
 def freight_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
-    d = describe(items_with_category(items, products), "freight_value", ["effective_category"], {"median": 0.5})
+    """A hot product's items meet its category without being gathered."""
+    side = with_category(products).select("product_id", "effective_category")
+    rows = join_by_frequency(items.select("product_id", "freight_value"), side, "product_id", "left")
+    rows = rows.withColumn("effective_category", F.coalesce("effective_category", F.lit("Uncategorized")))
+    d = describe(rows, "freight_value", ["effective_category"], {"median": 0.5})
     return d.select(
         "effective_category",
         F.round("mean", 2).alias("avg_freight"),
@@ -155,11 +161,29 @@ def freight_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def freight_correlation(items: DataFrame, products: DataFrame) -> DataFrame:
-    rows = items_with_category(items, products, ("product_weight_g", "product_volume_cm3"))
+    """Pearson correlation of an item's freight with the weight and the volume of its product.
+
+    Size is the same for all items of a product, so each product gives its count, mean and spread of
+    the freights: items are reduced before the join, and deviations are taken from the mean.
+    """
     f = dbl("freight_value")
-    return rows.agg(
-        F.round(F.corr(f, dbl("product_weight_g")), 4).alias("freight_vs_weight"),
-        F.round(F.corr(f, dbl("product_volume_cm3")), 4).alias("freight_vs_volume"),
+    sizes = {"freight_vs_weight": "product_weight_g", "freight_vs_volume": "product_volume_cm3"}
+    per_product = items.groupBy("product_id").agg(F.count(f).alias("n"), F.avg(f).alias("f"), (F.var_pop(f) * F.count(f)).alias("within"))
+    side = products.select("product_id", *[dbl(c).alias(c) for c in sizes.values()])
+    rows = stored(per_product.filter("n > 0").join(side, "product_id"), "freight-products")
+
+    def known(c: str, value: Column) -> Column:
+        return F.when(F.col(c).isNotNull(), value)
+
+    means, parts = [], []
+    for i, c in enumerate(sizes.values()):
+        count = F.sum(known(c, F.col("n")))
+        means += [(F.sum(known(c, F.col("n") * F.col("f"))) / count).alias(f"mf{i}"), (F.sum(F.col("n") * F.col(c)) / count).alias(f"ms{i}")]
+        df, ds = F.col("f") - F.col(f"mf{i}"), F.col(c) - F.col(f"ms{i}")
+        parts += [F.sum(F.col("n") * df * ds).alias(f"both{i}"), F.sum(known(c, F.col("within") + F.col("n") * df * df)).alias(f"vf{i}"), F.sum(F.col("n") * ds * ds).alias(f"vs{i}")]
+    sums = rows.crossJoin(F.broadcast(rows.agg(*means))).agg(*parts)  # one row
+    return sums.select(
+        *[F.round(F.try_divide(F.col(f"both{i}"), F.sqrt(F.col(f"vf{i}") * F.col(f"vs{i}"))), 4).alias(name) for i, name in enumerate(sizes)]
     )
 
 

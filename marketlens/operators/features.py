@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.exprs import count_if, days_between, dbl, money, money_mean, ratio, total
 from marketlens.functions.ordering import distinct_values, ranked_quantiles, running_totals
+from marketlens.functions.skew import join_by_frequency
 from marketlens.operators.clean import items_per_order
 from marketlens.operators.eda_products import items_with_category
 from marketlens.sources.workspace import stored
@@ -211,7 +212,8 @@ def revenue_position(people: DataFrame, value: str) -> DataFrame:
         F.round((dbl("before_n") + (F.col("n") + 1) / 2.0) / F.col("total_n") * 100.0, 2).alias("revenue_rank_percentile"),
         tier.alias("customer_value_tier"),
     )
-    return people.join(per_value, value)
+    # One row per distinct revenue; all persons without an order share the revenue 0.
+    return join_by_frequency(people, per_value, value)
 
 
 # ---- the feature store ---------------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.exprs import days_between, dbl, money, total
 from marketlens.functions.rank_tests import kruskal_wallis, mann_whitney
+from marketlens.functions.skew import join_by_frequency
 
 # The five states compared by default.
 TOP_STATES = ["SP", "RJ", "MG", "RS", "PR"]
@@ -48,5 +49,6 @@ def repeat_against_single_spend(customers: DataFrame, orders: DataFrame, items:
 
 def state_delays(customers: DataFrame, orders: DataFrame, states: Sequence[str] = tuple(TOP_STATES)) -> DataFrame:
     """Does the delivery delay differ between the given states?"""
-    rows = _delays(orders).join(customers.select("customer_id", "customer_state"), "customer_id")
+    delays = _delays(orders).select("customer_id", "delay_days")
+    rows = join_by_frequency(delays, customers.select("customer_id", "customer_state"), "customer_id")
     return kruskal_wallis(rows, "delay_days", "customer_state", list(states))

@@ -1,10 +1,11 @@
+import itertools
 import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.functions.rank_tests import chi_square_tail, kruskal_wallis, mann_whitney, normal_tail
+from marketlens.functions.rank_tests import chi_square_tail, exact_counts, exact_p, kruskal_wallis, mann_whitney, normal_tail
 
 
 def mid_ranks(values):
@@ -38,6 +39,30 @@ def test_mann_whitney_against_all_pairs(spark, alternative):
     assert got["effect_size_rank_biserial"] == round(1 - 2 * u / 5400, 4)
 
 
+def test_exact_distribution_is_the_enumeration_of_all_orders():
+    for n1 in range(1, 9):
+        for n2 in range(1, 9):
+            counts = [0] * (n1 * n2 + 1)
+            for places in itertools.combinations(range(n1 + n2), n1):
+                counts[sum(places) - n1 * (n1 - 1) // 2] += 1
+            assert exact_counts(n1, n2) == counts, (n1, n2)
+    assert sum(exact_counts(8, 2000)) == math.comb(2008, 8)
+
+
+@pytest.mark.parametrize("alternative", ["less", "two-sided"])
+def test_small_untied_samples_have_an_exact_p(spark, alternative):
+    a, b = [1.1, 2.2, 4.0, 7.5], [3.0, 5.0, 6.1, 8.0, 9.9, 12.0]
+    df = spark.createDataFrame([(x, True) for x in a] + [(x, False) for x in b], "v double, first boolean")
+    got = mann_whitney(df, "v", F.col("first"), alternative).first()
+    u, both = brute_u(a, b), a + b
+    orders = [brute_u([both[i] for i in c], [both[i] for i in range(10) if i not in c]) for c in itertools.combinations(range(10), 4)]
+    below = sum(x <= u for x in orders) / len(orders)
+    want = below if alternative == "less" else min(1.0, 2 * min(below, sum(x >= u for x in orders) / len(orders)))
+    assert (got["method"], got["p_value"]) == ("exact", pytest.approx(want)) and exact_p(u, 4, 6, alternative) == pytest.approx(want)
+    tied = spark.createDataFrame([(x, True) for x in [*a, 3.0]] + [(x, False) for x in b], "v double, first boolean")
+    assert mann_whitney(tied, "v", F.col("first"), alternative).first()["method"] == "asymptotic"
+
+
 def test_kruskal_wallis_against_ranks(spark):
     rng = random.Random(5)
     groups = {g: [round(rng.gauss(i, 2), 1) for _ in range(20 + i)] for i, g in enumerate("abc")}

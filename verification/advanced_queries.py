@@ -129,14 +129,31 @@ def _mw_sql(names: tuple[str, str, str, str], two_sided: bool) -> dict[str, str]
         "st": f"""
   SELECT *, ({best} - n1 * n2 / 2 - 0.5) / sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS z
   FROM (SELECT *, rs - n1 * (n1 + 1) / 2 AS u FROM mw)""",
-        "res": f"SELECT *, least(1.0, {2 if two_sided else 1} * {TAIL}) AS p FROM st",
+        "sized": """
+  SELECT *, least(n1, n2)::BIGINT AS k, greatest(n1, n2)::BIGINT AS m,
+         ties = 0 AND least(n1, n2) > 0 AND least(n1, n2) <= 8 AND n1 * n2 <= 20000 AS small FROM st""",
+        **_orders_sql(),
+        "res": f"""
+  SELECT *, CASE WHEN small THEN least(1.0, {2 if two_sided else 1} * (SELECT sum(c) FILTER (d8.u <= {"least(s.u, n1 * n2 - s.u)" if two_sided else "s.u"})::DOUBLE / sum(c)::DOUBLE FROM d8))
+    ELSE least(1.0, {2 if two_sided else 1} * {TAIL}) END AS p FROM sized s""",
     }
 
 
+def _orders_sql() -> dict[str, str]:
+    """Orders of the rows per U: for i up to k, multiply by 1 - q^(m + i) and divide by 1 - q^i."""
+    out = {"d0": "SELECT u, CASE WHEN u = 0 THEN 1 ELSE 0 END::HUGEINT AS c FROM (SELECT unnest(range(CASE WHEN small THEN k * m + 1 ELSE 0 END)) AS u FROM sized)"}
+    for i in range(1, 9):
+        out[f"d{i}"] = f"""
+  SELECT u, CASE WHEN {i} <= k THEN sum(c - coalesce(p, 0)) OVER (PARTITION BY u % {i} ORDER BY u) ELSE c END AS c
+  FROM (SELECT a.u, a.c, b.c AS p, k FROM d{i - 1} a CROSS JOIN sized LEFT JOIN d{i - 1} b ON b.u = a.u - m - {i})"""
+    return out
+
+
 def _mw_select(names: tuple[str, str, str, str]) -> str:
     a, b, c, d = names
     return f"""SELECT {big("n1")} AS {a}, {big("n2")} AS {b}, {rnd("m1")} AS {c}, {rnd("m2")} AS {d}, u AS u_statistic, {rnd("p", 6)} AS p_value,
-  {rnd("1 - 2 * u / (n1 * n2)", 4)} AS effect_size_rank_biserial, p < 0.05 AS statistically_significant FROM res"""
+  {rnd("1 - 2 * u / (n1 * n2)", 4)} AS effect_size_rank_biserial, p < 0.05 AS statistically_significant,
+  CASE WHEN small THEN 'exact' ELSE 'asymptotic' END AS method FROM res"""
 
 
 def _rounded_p(df):
