@@ -40,7 +40,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two length."""
-    return packed(docs, vocabulary())
+    return packed(docs, vocabulary)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -34,15 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stored(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back; with ``by`` in one folder per value.
 
     For a frame that several branches of one plan read: the branches then scan a small table
     instead of recomputing the joins behind it, and a lost executor costs a re-read.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def stored_in_order(df: DataFrame, keys: Sequence[Column | str], name: str) -> DataFrame:
