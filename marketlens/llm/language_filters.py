@@ -208,7 +208,11 @@ def with_fold(judged: DataFrame, folds: int, held_out: int) -> DataFrame:
 
 def keep_identified(docs: DataFrame, folds: int = 4, held_out: int = 2, least: float = MIN_SCORE) -> DataFrame:
     """``docs`` without the documents in which no learned language is found. What is in a language
-    stays, whatever its ``lang`` column says."""
+    stays, whatever its ``lang`` column says.
+
+    Each row is judged by its own text: repeated rows, repeated ids and null ids stay or go one by one.
+    A null text, or one without a letter, goes. Without a labelled text to learn from all rows stay.
+    """
     filters = learn(learning_part(docs, folds, held_out))
     if filters is None:
         return docs

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import without
+from marketlens.llm.common import text_mark, without
 from marketlens.llm.words import Words, chunks, inside, windows
 
 SEED_WORDS = 3
@@ -122,7 +122,7 @@ def _documents(items: Items):
     return of
 
 
-_FOUND = "doc_id long, item_id long, score double, first_word long, last_word long"
+_FOUND = "doc_id long, item_id long, score double, first_word long, last_word long, mark long"
 
 
 def _aligned(items: Items, seeds: dict[int, list[tuple[int, int]]], least: float):
@@ -164,40 +164,47 @@ def _aligned(items: Items, seeds: dict[int, list[tuple[int, int]]], least: float
                 if share >= least and (doc, item) not in best or share > best.get((doc, item), (2.0,))[0]:
                     base = int(words.first[doc])
                     best[doc, item] = share, max(0, a + end - len(own) - base), a + end - 1 - base
-            ids = batch.column(0).to_pylist()
-            rows = [(ids[d], items.ids[i], *v) for (d, i), v in best.items()]
-            kinds_out = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-            cols = [pa.array([r[k] for r in rows], kinds_out[k]) for k in range(5)]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "item_id", "score", "first_word", "last_word"])
+            ids, marks = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            rows = [(ids[d], items.ids[i], *v, marks[d]) for (d, i), v in best.items()]
+            kinds_out = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+            cols = [pa.array([r[k] for r in rows], kinds_out[k]) for k in range(6)]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "item_id", "score", "first_word", "last_word", "mark"])
 
     return of
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """One row per document and test item that it holds at least in part: doc_id, item_id, score
-    (share of a verbatim copy's score), first_word and last_word (about where, in words without signs).
-
-    A null or empty text holds nothing; an item of fewer than SEED_WORDS words is never found. Several
-    rows of one doc_id give one row with the best score. Other columns are ignored; without documents
-    or items the result is empty.
-    """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _found(docs: DataFrame, benchmark: DataFrame, least: float, slice_bytes: int) -> DataFrame:
+    """Every document and item that align, per slice and passage, with the mark of the document's text."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_mark(F.col("text")).alias("mark"))
     bench = benchmark.filter("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one row
     slices = -(-total // slice_bytes) or 1
     found = []
     for k in range(slices):
-        part = bench.filter(F.pmod(F.xxhash64("text"), F.lit(slices)) == k).toPandas()  # about slice_bytes
-        items = Items(part["item_id"].tolist(), [t.encode() for t in part["text"]])
+        part = bench.filter(F.pmod(F.xxhash64("text"), F.lit(slices)) == k).toArrow()  # about slice_bytes; ids may be null
+        items = Items(part["item_id"].to_pylist(), [t.encode() for t in part["text"].to_pylist()])
         counted = rows.mapInArrow(_documents(items), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
         documents = np.zeros(len(items.sorted), dtype=np.int64)
         documents[counted["place"]] = counted["n"]
         found.append(rows.mapInArrow(_aligned(items, items.seeds(documents), least), _FOUND))
+    return reduce(DataFrame.unionByName, found)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """One row per document and test item that it holds at least in part: doc_id, item_id, score
+    (share of a verbatim copy's score), first_word and last_word (about where, in words without signs).
+
+    A null or empty text holds nothing; an item of fewer than SEED_WORDS words is never found. Several
+    rows of one doc_id (or without one) give one row with the best score, and so do several items of one
+    item_id or without one. Other columns are ignored; without documents or items the result is empty.
+    """
+    found = _found(docs, benchmark, least, slice_bytes)
     best = F.max(F.struct("score", -F.col("first_word"), "last_word")).alias("best")
-    grouped = reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(best)
+    grouped = found.groupBy("doc_id", "item_id").agg(best)
     return grouped.select("doc_id", "item_id", "best.score", (-F.col("best.col2")).alias("first_word"), "best.last_word")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
-    """``docs`` without those that hold a test item."""
-    return without(docs, contaminated(docs, benchmark, least).select("doc_id").distinct())
+    """``docs`` without those that hold a test item. Rows are judged by their own text, also where they share
+    a doc_id or have none; all columns stay."""
+    return without(docs, _found(docs, benchmark, least, SLICE_BYTES).select("doc_id", "mark").distinct())

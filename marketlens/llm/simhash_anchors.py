@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from marketlens.llm.common import only
+from marketlens.llm.common import only_one, text_mark
 from marketlens.llm.components import component_minima
 from marketlens.sources.workspace import stored
 
@@ -56,7 +56,7 @@ def _fingerprints(shingle: int):
         for batch in batches:
             prints = [fingerprint(t.as_py() or b"", shingle) for t in batch.column(1).cast(pa.binary())]
             signed = np.array(prints, dtype=np.uint64).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed), batch.column(2)], names=["doc_id", "fp", "mark"])
 
     return of
 
@@ -220,6 +220,21 @@ def fingerprint_links(distinct: DataFrame, threshold: int = THRESHOLD) -> DataFr
     return placed.mapInArrow(_links(threshold), "src long, dst long").distinct()
 
 
+def _rooted(rows: DataFrame, shingle: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, mark, fp) of every row, and (fp, root) of every distinct fingerprint: equal roots, one component."""
+    prints = stored(rows.mapInArrow(_fingerprints(shingle), "doc_id long, fp long, mark long"), "fingerprints")
+    distinct = stored(prints.select("fp").distinct(), "distinct-prints")
+    found = component_minima(stored(fingerprint_links(distinct, threshold), "links"))
+    # The rest stand alone.
+    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return prints, stored(rooted, "roots")
+
+
+def _read(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string").alias("text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, text_mark(F.col("text")).alias("mark"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (the smallest
     doc_id that links lead to, its own included).
@@ -228,22 +243,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     row. A null doc_id never is a component_id unless its component has no other id. Other columns
     are ignored; an empty table gives an empty result.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    prints = stored(rows.mapInArrow(_fingerprints(shingle), "doc_id long, fp long"), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
-    found = component_minima(stored(fingerprint_links(distinct, threshold), "links"))
-    # (fp -> root) for linked prints; the rest stand alone.
-    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "first_id"
-    )
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_print = stored(rooted.join(least, "root").select("fp", "component_id"), "components")
+    prints, rooted = _rooted(_read(docs), shingle, threshold)
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")).join(rooted, "fp")
+    least = first.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    by_print = stored(first.join(least, "root").select("fp", "component_id"), "components")
     return prints.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """``docs`` without near-duplicates: of each component the document with the smallest doc_id."""
-    judged = near_duplicates(docs, shingle, threshold)
-    return only(docs, judged.select(F.col("component_id").alias("doc_id")).distinct())
+    """``docs`` with one row of each component of near-duplicates: the one with the smallest doc_id.
+
+    Rows are judged one by one, also where they share a doc_id or have none: a null doc_id comes last, and
+    of rows with one doc_id a hash of the text decides. Of rows that agree in doc_id and text the least
+    by all columns stays. All columns stay; an empty table gives an empty one.
+    """
+    prints, rooted = _rooted(_read(docs), shingle, threshold)
+    rows = prints.groupBy("fp", "doc_id", "mark").agg(F.count(F.lit(1)).alias("copies"))
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark", "copies")).alias("best")
+    chosen = rows.groupBy("fp").agg(best).join(rooted, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    return only_one(docs, stored(chosen.select("best.doc_id", "best.mark", "best.copies"), "kept"))
