@@ -9,8 +9,10 @@ crosses a document and nothing is padded.
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -18,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.words import Words, chunks
+from marketlens.llm.words import chunks
 from marketlens.sources.workspace import stored
 
 SEQUENCE = 2048  # a power of two
 END = 1  # the id that closes a document
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000  # of each generation
 CHUNK = 4 << 20  # bytes of text whose distinct words are looked up together
 
 
@@ -39,23 +41,34 @@ def binary_pieces(n: int, longest: int = SEQUENCE) -> list[tuple[int, int]]:
     return out
 
 
-# How this vocabulary splits a word, for words of ASCII characters.
+# How the vocabulary of the query splits a word of ASCII characters. Another vocabulary is
+# found out by PROBES, and splits its words by itself.
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
-_PRINTABLE = re.compile(rb"[\x21-\x7e]+").fullmatch
+PROBES = "don't we'll've i'm they're she'd 's a1b22c x--y (end.) http://a.b/c?d=e 'tis o'clock a_b #1 UPPER Mixed9".split(" ")
 
 
 class _Encoder:
     """Ids of words. White space always ends a token of this vocabulary and leaves no id, so a text's
-    ids are its words' ids in a row; a word's are those of its pieces in a row."""
+    ids are its words' ids in a row; a word's are those of its pieces in a row.
+
+    Words and pieces are remembered in two generations: what the older one holds and is met again moves
+    to the younger, and the rest goes when the younger is full.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.known_split = all(self._own_split(w) == _ASCII_PIECES.findall(w.lower()) for w in PROBES)
         self.words: dict[bytes, list[int]] = {}
+        self.older: dict[bytes, list[int]] = {}
         self.pieces: dict[str, list[int]] = {}
 
+    def _own_split(self, word: str) -> list[str]:
+        norm = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
+        return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(norm)]
+
     def _piece(self, piece: str) -> list[int]:
         ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(piece)]
         return ids
@@ -76,44 +89,80 @@ class _Encoder:
 
     def ids(self, words: list[bytes]) -> list[list[int]]:
         if len(self.words) > CACHED_WORDS:
-            self.words, self.pieces = {}, {}
-        new = [w for w in words if w not in self.words]
+            self.older, self.words = self.words, {}
+        if len(self.pieces) > CACHED_WORDS:
+            self.pieces = {}
+        young, older, known = self.words, self.older, self.pieces
+        new = []
+        for w in words:
+            if w not in young:
+                if w in older:
+                    young[w] = older[w]
+                else:
+                    new.append(w)
         # What may hold a special token, or white space of another script, is encoded as it stands.
         odd = {w for w in new if b"<|" in w or (not w.isascii() and len(w.decode().split()) > 1)}
-        known = self.pieces
-        for w in new:
-            if w not in odd and _PRINTABLE(w):
+        plain = []
+        for w, lower in zip(new, b"\n".join(new).decode().lower().split("\n")):
+            if w in odd:
+                young[w] = self.tokenizer.encode(w.decode(), add_special_tokens=False).ids
+            elif not (self.known_split and w.isascii() and lower.isprintable()):
+                plain.append(w)
+            elif lower.isalpha():
+                young[w] = known.get(lower) or self._piece(lower)
+            else:
                 ids = []
-                for piece in _ASCII_PIECES.findall(w.decode().lower()):
+                for piece in _ASCII_PIECES.findall(lower):
                     ids += known.get(piece) or self._piece(piece)
-                self.words[w] = ids
-        plain = [w for w in new if w not in odd and not _PRINTABLE(w)]
+                young[w] = ids
         if plain:
             self._learn(plain)
-        for w in odd:
-            self.words[w] = self.tokenizer.encode(w.decode(), add_special_tokens=False).ids
-        return [self.words[w] for w in words]
+        return [young[w] for w in words]
+
+
+def _encoder(path: str) -> _Encoder:
+    """This worker's encoder. Workers are reused, and what one task learnt of the words serves the next."""
+    kept = sys.modules.setdefault("_marketlens_packing", types.ModuleType("_marketlens_packing"))
+    if getattr(kept, "path", None) != path:
+        kept.path, kept.encoder = path, _Encoder(path)
+    return kept.encoder
+
+
+_SPACE_FOLD = np.arange(256, dtype=np.uint8)
+_SPACE_FOLD[[0x20, *range(0x09, 0x0E)]] = 0x20
+
+
+def _split(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All words of some texts in a row, and the index of each text's first one (one more at the end)."""
+    raw = _SPACE_FOLD[np.frombuffer(b" ".join([*texts, b""]), dtype=np.uint8)]
+    gap = raw == 0x20
+    edge = np.diff(np.concatenate(([True], gap, [True])).astype(np.int8))
+    starts, stops = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    first = np.searchsorted(starts, np.cumsum([0, *[len(t) + 1 for t in texts]]))
+    offsets = np.concatenate(([0], np.cumsum(stops - starts))).astype(np.int64)
+    body = pa.py_buffer(raw[~gap].tobytes())
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), body])
+    return words.dictionary_encode(), first
 
 
 def _encoded(encoder: _Encoder, texts: list[bytes]) -> list[np.ndarray]:
     """The ids of each text: every distinct word of the chunk is looked up once."""
-    words = Words(texts)
-    _, first, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-    spans = zip(words.starts[first].tolist(), words.ends[first].tolist())
-    lists = encoder.ids([words.flat[a:b] for a, b in spans])
+    words, first = _split(texts)
+    lists = encoder.ids(words.dictionary.to_pylist())
+    which = words.indices.to_numpy()
     sizes = np.array([len(x) for x in lists], dtype=np.int64)
     flat = np.fromiter(chain.from_iterable(lists), dtype="<u4", count=int(sizes.sum()))
     begins = np.cumsum(sizes) - sizes
     n = sizes[which]
     upto = np.concatenate(([0], np.cumsum(n)))
     ids = flat[np.arange(upto[-1]) + np.repeat(begins[which] - upto[:-1], n)]
-    cuts = upto[words.first]
+    cuts = upto[first]
     return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
-def _pieces(vocabulary: str, longest: int, with_ids: bool):
+def _pieces(place: Callable[[], str], longest: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = _Encoder(vocabulary), np.array([END], dtype="<u4")
+        encoder, end = _encoder(place()), np.array([END], dtype="<u4")
         for batch, texts in chunks(batches, 1, CHUNK):
             doc, start, length, crc, total, ids_out = [], [], [], [], [], []
             for doc_id, body in zip(batch.column(0).to_pylist(), _encoded(encoder, texts)):
@@ -136,10 +185,12 @@ def _pieces(vocabulary: str, longest: int, with_ids: bool):
     return cut
 
 
-def packed(docs: DataFrame, vocabulary: str, longest: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
+def packed(docs: DataFrame, place: Callable[[], str], longest: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and on
-    request the ids themselves. ``length`` is the bucket.
+    request the ids themselves.
 
+    ``place`` gives the path of the vocabulary and is called in every task. The pieces are stored in one
+    folder per ``length``, the buckets: a reader of one length reads that bucket alone.
     A null or empty text has the closing id alone. Every row of ``docs`` is packed, repeated ids and
     null ids too; other columns are ignored; an empty table gives no piece. White space here is
     what the vocabulary drops; ids do not depend on where a text is split at it.
@@ -149,5 +200,5 @@ def packed(docs: DataFrame, vocabulary: str, longest: int = SEQUENCE, with_ids:
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # The table is fixed once written, so row numbers over its files stay the same on a retry.
-    pieces = stored(rows.mapInArrow(_pieces(vocabulary, longest, with_ids), schema), "pieces")
+    pieces = stored(rows.mapInArrow(_pieces(place, longest, with_ids), schema), "pieces", by=["length"])
     return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})

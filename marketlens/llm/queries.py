@@ -87,7 +87,7 @@ def op9_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, base: str) -> DataFrame:
-    return packed(documents(spark, base), vocabulary())
+    return packed(documents(spark, base), vocabulary)
 
 
 def op11_token_counts(spark: SparkSession, base: str) -> DataFrame:

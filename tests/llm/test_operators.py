@@ -156,6 +156,55 @@ def test_substring_dedup_odd_rows(spark, odd):
     assert suffix_groups.repeated_words_removed(odd.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_apart(spark):
+    """Ids null, repeated and shared: the stages keep rows, not ids."""
+    near = "one two three four five six seven eight nine ten"
+    other = "quite another text about rivers and the old mill by the bridge"
+    rows = [(5, near), (6, near), (None, near), (7, near), (7, other), (7, other), (None, other + " in the rain"), (None, None), (8, "")]
+    kept = simhash_anchors.keep_one(table(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == [("5", near), ("7", other), ("8", ""), ("None", other + " in the rain")]
+    bench = spark.createDataFrame([(None, "the old mill by the bridge stood empty"), (1, None), (None, "entirely different words in this item here")], "item_id long, text string")
+    hit = "they said the old mill by the bridge stood empty for years"
+    rows = [(None, hit), (None, near), (7, near), (7, hit), (7, near)]
+    docs = table(spark, rows)
+    clean = seed_alignment.keep_clean(docs, bench)
+    assert clean.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in clean.collect()) == [("7", near), ("7", near), ("None", near)]
+    found = seed_alignment.contaminated(docs, bench).collect()
+    assert sorted(((r.doc_id is None, r.item_id), r.score) for r in found) == [((False, None), 1.0), ((True, None), 1.0)]
+    for stage in (simhash_anchors.keep_one, lambda d: seed_alignment.keep_clean(d, bench)):
+        assert stage(docs.limit(0)).count() == 0
+
+
+def test_packing_with_a_vocabulary_that_splits_otherwise(monkeypatch):
+    """A wrong rule for the pieces is found out, and the vocabulary's own splitter is used."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["Don't a1b2 x--y", "plain words (here)", "été 9 'tis", ""]
+    want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+
+    def ids(encoder):
+        return [x.tolist() for x in packing._encoded(encoder, [t.encode() for t in texts])]
+
+    right = packing._Encoder(path)
+    assert right.known_split and ids(right) == want
+    monkeypatch.setattr(packing, "_ASCII_PIECES", re.compile("[a-z]+|[^a-z]+"))
+    wrong = packing._Encoder(path)
+    assert not wrong.known_split and ids(wrong) == want
+
+
+def test_packing_forgets_and_learns_again(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
+    encoder = packing._Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [b"alpha beta gamma delta", b"beta gamma alpha", b"delta delta omega"] * 3
+    got = [packing._encoded(encoder, [t])[0].tolist() for t in texts]
+    assert got == [encoder.tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+
+
 def test_packing_is_an_exact_cut(spark, odd):
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
@@ -164,8 +213,8 @@ def test_packing_is_an_exact_cut(spark, odd):
     encode = Tokenizer.from_file(path).encode
     texts = ["don't STOP, Ünïcode é \x1c!\x1f", "<|endoftext|> a b", "日本 テキスト 😀", words(random.Random(4), 3000), "x" * 4000]
     docs = odd.union(table(spark, list(enumerate(texts, 100))))
-    assert packing.packed(docs.limit(0), path).count() == 0
-    got = packing.packed(docs.filter("doc_id >= 100 OR doc_id < 4"), path, with_ids=True).collect()
+    assert packing.packed(docs.limit(0), lambda: path).count() == 0
+    got = packing.packed(docs.filter("doc_id >= 100 OR doc_id < 4"), lambda: path, with_ids=True).collect()
     for i, t in [*enumerate(texts, 100), (1, ""), (3, "")]:
         ids = [*encode(t, add_special_tokens=False).ids, 1]
         mine = sorted((x for x in got if x.doc_id == i), key=lambda x: x.start)
@@ -173,7 +222,7 @@ def test_packing_is_an_exact_cut(spark, odd):
         assert all(x.doc_tokens == len(ids) and x.length & (x.length - 1) == 0 and x.length <= 2048 for x in mine)
         assert all(x.ids_crc32 == zlib.crc32(np.array(x.ids, dtype="<u4").tobytes()) for x in mine)
     assert len({x.sequence_id for x in got}) == len(got)
-    assert packing.packed(odd, path).groupBy("doc_id", "start").count().filter("doc_id = 5").first()["count"] == 3
+    assert packing.packed(odd, lambda: path).groupBy("doc_id", "start").count().filter("doc_id = 5").first()["count"] == 3
 
 
 def test_language_filters(spark, odd):
