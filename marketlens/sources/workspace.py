@@ -41,8 +41,9 @@ def stored(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     instead of recomputing the joins behind it, and a lost executor costs a re-read.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return table.select(*df.columns) if by else table  # the columns of the folders come last
 
 
 def stored_in_order(df: DataFrame, keys: Sequence[Column | str], name: str) -> DataFrame:
