@@ -395,3 +395,68 @@ register(
         {n: DIRT[n] for n in ("d_customers", "d_orders")},
     ),
 )
+
+
+def _dirty_audit_sql(rows: list[tuple[str, str]]) -> str:
+    body = "\nUNION ALL ".join(f"SELECT '{label}' AS audit, ({n}) AS violations" for label, n in rows)
+    return with_roles(f"SELECT audit, violations, CASE WHEN violations = 0 THEN 'PASSED' ELSE 'FAILED' END AS status FROM ({body})", DIRT)
+
+
+register(
+    "dq_dirty_fk_audit",
+    lambda m: Q.foreign_key_audit(dirty_tables(m)),
+    _dirty_audit_sql(
+        [
+            (f"{child}.{key}->{parent}", f"SELECT count(*) FROM d_{child} c WHERE NOT EXISTS (SELECT 1 FROM d_{parent} p WHERE p.{key} = c.{key})")
+            for child, key, parent in Q.FOREIGN_KEYS
+        ]
+    ),
+)
+register(
+    "dq_dirty_null_audit",
+    lambda m: Q.null_audit(dirty_tables(m)),
+    _dirty_audit_sql(
+        [(f"{n}_null_keys", f"SELECT count(*) FROM d_{n} WHERE " + " OR ".join(f"{k} IS NULL" for k in RULES[n].key)) for n in PIPELINE_DATASETS]
+    ),
+)
+
+# Tables that lack a required column, carry one that no rule knows, and have one of the wrong type.
+_LACKS = {"customers": "customer_city", "orders": "order_status", "reviews": "review_score"}
+_SURPLUS = {"products": "colour", "payments": "currency"}
+_MISTYPED = {"translations": "product_category_name_english", "payments": "payment_type"}
+
+
+def _misshapen(m) -> dict[str, DataFrame]:
+    out = {}
+    for n, t in raw_tables(m).items():
+        t = t.drop(_LACKS[n]) if n in _LACKS else t
+        t = t.withColumn(_SURPLUS[n], F.lit("x")) if n in _SURPLUS else t
+        out[n] = t.withColumn(_MISTYPED[n], F.lit(1)) if n in _MISTYPED else t
+    return out
+
+
+def _shape(m):
+    parts = [
+        t.agg(
+            F.lit(n).alias("dataset"),
+            F.count(F.lit(1)).alias("rows"),
+            F.lit(len(Q.missing_columns(t, RULES[n]))).cast("long").alias("missing"),
+            F.lit(len(Q.unexpected_columns(t, RULES[n]))).cast("long").alias("unexpected"),
+            F.lit(len(Q.type_mismatches(t, RULES[n]))).cast("long").alias("mistyped"),
+        )
+        for n, t in _misshapen(m).items()
+    ]
+    return union_reports(parts)
+
+
+register(
+    "dq_dirty_schema",
+    _shape,
+    with_roles(
+        "\nUNION ALL ".join(
+            f"""SELECT '{n}' AS dataset, count(*) AS rows, {big(str(int(n in _LACKS)))} AS missing, {big(str(int(n in _SURPLUS)))} AS unexpected,
+  {big(str(MISMATCHES[n] + (n in _MISTYPED)))} AS mistyped FROM {sql_name(n)}"""
+            for n in PIPELINE_DATASETS
+        )
+    ),
+)
