@@ -230,7 +230,7 @@ def _rooted(rows: DataFrame, shingle: int, threshold: int) -> tuple[DataFrame, D
     return prints, stored(rooted, "roots")
 
 
-def _read(docs: DataFrame) -> DataFrame:
+def read(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string").alias("text")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, text_mark(F.col("text")).alias("mark"))
 
@@ -243,7 +243,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     row. A null doc_id never is a component_id unless its component has no other id. Other columns
     are ignored; an empty table gives an empty result.
     """
-    prints, rooted = _rooted(_read(docs), shingle, threshold)
+    prints, rooted = _rooted(read(docs), shingle, threshold)
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")).join(rooted, "fp")
     least = first.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_print = stored(first.join(least, "root").select("fp", "component_id"), "components")
@@ -252,6 +252,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     )
 
 
+def one_of_each(docs: DataFrame, prints: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The row of ``docs`` with the smallest doc_id of each component: ``prints`` (doc_id, mark, fp) per row, ``rooted`` (fp, root)."""
+    rows = prints.groupBy("fp", "doc_id", "mark").agg(F.count(F.lit(1)).alias("copies"))
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark", "copies")).alias("best")
+    chosen = rows.groupBy("fp").agg(best).join(rooted, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    return only_one(docs, stored(chosen.select("best.doc_id", "best.mark", "best.copies"), "kept"))
+
+
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each component of near-duplicates: the one with the smallest doc_id.
 
@@ -259,8 +267,5 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD
     of rows with one doc_id a hash of the text decides. Of rows that agree in doc_id and text the least
     by all columns stays. All columns stay; an empty table gives an empty one.
     """
-    prints, rooted = _rooted(_read(docs), shingle, threshold)
-    rows = prints.groupBy("fp", "doc_id", "mark").agg(F.count(F.lit(1)).alias("copies"))
-    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark", "copies")).alias("best")
-    chosen = rows.groupBy("fp").agg(best).join(rooted, "fp").groupBy("root").agg(F.min("best").alias("best"))
-    return only_one(docs, stored(chosen.select("best.doc_id", "best.mark", "best.copies"), "kept"))
+    prints, rooted = _rooted(read(docs), shingle, threshold)
+    return one_of_each(docs, prints, rooted)
