@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from marketlens.llm.block_naming import keep_exact
 from marketlens.llm.common import documents, table
 from marketlens.llm.language_filters import keep_identified
+from marketlens.llm.near_texts import keep_one_near
 from marketlens.llm.packing import packed
 from marketlens.llm.queries import vocabulary
 from marketlens.llm.seed_alignment import keep_clean
-from marketlens.llm.simhash_anchors import keep_one
 from marketlens.sources.workspace import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -30,7 +30,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return keep_one(docs)
+    return keep_one_near(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
