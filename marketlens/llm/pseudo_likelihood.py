@@ -8,8 +8,8 @@ a document is its score.
 Words are hashed into buckets, so the network has a fixed size. Counts of all buckets over all
 documents make the classes: buckets by frequency, cut into classes of equal mass. Training is
 data-parallel: in every round each task trains its own copy on its documents (every word is a target
-once, in one of several turns of masking), and the copies are averaged by their number of targets, block by block, in two
-levels of grouping. Each document is trained on in one round.
+once, in an order that its hash and place decide; a target is never among its own neighbours), and the copies are averaged by
+their number of targets, block by block, in two levels of grouping. Each document is trained on in one round.
 """
 
 from __future__ import annotations
@@ -29,10 +29,9 @@ BUCKETS = 1 << 15
 CLASSES = 128
 WIDTH = 16  # of an embedding
 SIDE = 3  # neighbours on either side
-MASKED = 8  # turns in which a text's words are targets while training, each word in one of them
 ROUNDS = 2
-BATCH = 1024
-RATE = 0.15
+BATCH = 4096
+RATE = 0.25
 BLOCK = 1 << 14  # parameters averaged together
 _STEP = 1 << 13  # words scored at once
 
@@ -82,15 +81,13 @@ def buckets(words: Words) -> np.ndarray:
     return (words.hashes % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def neighbours(words: Words, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """(words, 2 * SIDE) bucket numbers around each word; BUCKETS beyond the ends of its text."""
-    lo, hi = words.first[words.doc[at]], words.first[words.doc[at] + 1]
-    steps = [s for s in range(-SIDE, SIDE + 1) if s]
-    out = np.full((len(at), 2 * SIDE), BUCKETS, dtype=np.int64)
-    for k, s in enumerate(steps):
-        there = at + s
-        ok = (there >= lo) & (there < hi)
-        out[ok, k] = ids[there[ok]]
+def neighbours(words: Words, ids: np.ndarray) -> np.ndarray:
+    """(words, 2 * SIDE) bucket numbers around every word; BUCKETS beyond the ends of its text."""
+    out = np.full((len(ids), 2 * SIDE), BUCKETS, dtype=np.uint16)  # 16 bits sort by radix
+    for k, s in enumerate(s for s in range(-SIDE, SIDE + 1) if s):
+        n = max(0, len(ids) - abs(s))
+        here, there = slice(max(0, -s), max(0, -s) + n), slice(max(0, s), max(0, s) + n)
+        out[here, k] = np.where(words.doc[here] == words.doc[there], ids[there], BUCKETS)
     return out
 
 
@@ -106,10 +103,10 @@ def _forward(parts: tuple[np.ndarray, ...], around: np.ndarray) -> tuple[np.ndar
 def log_probabilities(net: Network, words: Words) -> np.ndarray:
     """Of every word, given the words on both sides of it."""
     ids, parts = buckets(words), net.parts(net.flat)
-    out = np.empty(len(ids))
+    around, out = neighbours(words, ids), np.empty(len(ids))
     for a in range(0, len(ids), _STEP):
         at = np.arange(a, min(a + _STEP, len(ids)))
-        _, _, logits = _forward(parts, neighbours(words, ids, at))
+        _, _, logits = _forward(parts, around[at])
         own = ids[at]
         out[at] = logits[np.arange(len(at)), net.klass[own]] - np.log(np.exp(logits).sum(axis=1)) + net.log_share[own]
     return out
@@ -126,10 +123,11 @@ def train(net: Network, flat: np.ndarray, squares: np.ndarray, around: np.ndarra
     p /= len(target)
     back = (p @ out.T) * (1 - hidden**2)
     grads = [None, np.einsum("nkd,nd->kd", seen, back), back.sum(axis=0), hidden.T @ p, p.sum(axis=0)]
-    touched, where = np.unique(around, return_inverse=True)
     pull = (back[:, None, :] * place).reshape(-1, WIDTH)
-    order = np.argsort(where.ravel(), kind="stable")
-    cuts = np.searchsorted(where.ravel()[order], np.arange(len(touched)))
+    order = np.argsort(around, axis=None, kind="stable")
+    sorted_ = around.ravel()[order]
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(sorted_)) + 1))
+    touched = sorted_[cuts]
     rows = np.add.reduceat(pull[order], cuts, axis=0)
     rows[touched == BUCKETS] = 0
     sums[0][touched] += rows**2
@@ -158,14 +156,12 @@ def _trained(net: Network, salts: int):
         for _, texts in chunks(batches, 0):
             words = Words([t.lower() for t in texts])
             ids = buckets(words)
-            # When a word is masked depends on the word and its place alone, so a retry masks the same.
+            # The order depends on the words and their places alone, so a retry trains the same.
             spot = mixed(words.hashes ^ (np.arange(len(ids)) - words.first[words.doc]).astype(np.uint64))
-            for turn in range(MASKED):
-                masked = np.flatnonzero(spot % np.uint64(MASKED) == turn)
-                masked = masked[np.argsort(spot[masked], kind="stable")]
-                for a in range(0, len(masked), BATCH):
-                    at = masked[a : a + BATCH]
-                    train(net, flat, squares, neighbours(words, ids, at), ids[at])
+            order = np.argsort(spot, kind="stable")
+            around, target = neighbours(words, ids)[order], ids[order]
+            for a in range(0, len(ids), BATCH):
+                train(net, flat, squares, around[a : a + BATCH], target[a : a + BATCH])
             n += len(ids)
             mark ^= int(spot[0]) if len(spot) else 0
         if n:
