@@ -402,3 +402,33 @@ def test_surrogates_stay_distinct_when_a_format_is_crowded(spark):
     got = surrogates.surrogates(nets.union(names), "k")
     assert got.count() == got.select("kind", "surrogate").distinct().count() == 6000
     assert got.join(nets.select(F.col("entity").alias("surrogate")), "surrogate").count() == 0
+
+
+def test_persons_of_one_family_stay_distinct(spark):
+    syllables = ["an", "be", "co", "du", "el", "fi", "go", "hu", "il", "jo"]
+    given = [(a + b + c).capitalize() for a in syllables for b in syllables for c in syllables]
+    texts = [f"{t} {g} Smith came" for g in given for t in ("Mr.", "Mrs.")] + ["Dr. Ada Smith", "Ms. Ada Smith", "Mr. Smith", "Dr. Bo Smith"]
+    got = {x.doc_id: x.text.removesuffix(" came").split() for x in surrogates.pseudonymised(table(spark, list(enumerate(texts))), "k").collect()}
+    n = 2 * len(given)
+    assert len({g[-1] for g in got.values()}) == 1 and got[0][-1] != "Smith"  # the family keeps one name
+    assert len({got[i][1] for i in range(n)}) == n  # as many persons as before
+    assert got[n][1] == got[n + 1][1] and got[n + 2] == ["Mr.", got[0][-1]]  # a doctor is the only Ada
+    assert all(got[i][0] == texts[i].split()[0] for i in got) and not {got[n][1], got[n + 3][1]} & {"Ada", "Bo"}
+
+
+def test_crowded_and_fixed_formats_are_still_replaced(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.co" for a in letters for b in letters]
+    texts = [*mails, "_@-.-", "token=========", "1²@٣.x"]
+    got = {x.doc_id: x for x in surrogates.pseudonymised(table(spark, list(enumerate(texts))), "k").collect()}
+    assert all(x.n_replaced == 1 for x in got.values())
+    new = [got[i].text for i in range(len(texts))]
+    assert len(set(new)) == len(texts) and not set(new) & set(texts)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.co", x) for x in new[: len(mails)]) and new[len(mails) + 1].startswith("token=")
+
+
+def test_numbers_grow_at_their_end(spark):
+    rows = [("national", "123-45-6789", "9876543210"), ("phone", "+1 743 555-3824", "2223334444"), ("ip", "10.0.0.1", "4.5.6.7:81")]
+    made = spark.createDataFrame(rows, "kind string, mention string, surrogate string")
+    new = [x[0] for x in made.select(surrogates._rendered(F.lit(""))).collect()]
+    assert new == ["987-65-43210", "+1 222 333-4444", "4.5.6.7:81"]
