@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from marketlens.model import CURATED, PIPELINE_DATASETS, RULES
 from marketlens.operators import clean, kpi
 from marketlens.plans import etl
 from marketlens.plans.manifest import Manifest
-from marketlens.sources import readers, writers
+from marketlens.sources import appends, readers, writers
 from marketlens.sources.workspace import shared_dir
 from verification.eda_delivery_review_queries import STATES
 from verification.quality_queries import raw_tables, sql_name
@@ -226,6 +227,42 @@ FROM (SELECT count(*) AS n FROM (SELECT DISTINCT {keys} FROM {sql_name(n)}))"""
 register("sink_table_verified", _loaded(["order_items"]), _load_sql(["order_items"]))
 register("sink_batch_ordered", _loaded(PIPELINE_DATASETS), _load_sql(PIPELINE_DATASETS))
 
+# ---- batches: a second one replaces, comes again and adds nothing, a third is taken back
+
+
+def _batches(m):
+    spark = m.customers.sparkSession
+    base, k = folder(spark), F.col("customer_id")
+    city = lambda name: m.customers.withColumn("customer_city", F.lit(name))
+    parts = [("first", m.customers.filter(k % 3 != 0)), ("second", city("moved").filter(k % 3 != 1)), ("second", city("twice")), ("third", city("wrong"))]
+    loads = [appends.append_table("customers", df, base, batch) for batch, df in parts]
+    appends.rollback_batch(spark, "customers", base, "third")
+    return base, reduce(DataFrame.unionByName, loads)
+
+
+register(
+    "sink_append",
+    lambda m: appends.read_appended(m.customers.sparkSession, "customers", _batches(m)[0]),
+    with_roles(
+        """SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(customer_unique_id AS VARCHAR) AS customer_unique_id,
+  CAST(customer_zip_code_prefix AS VARCHAR) AS customer_zip_code_prefix,
+  CASE WHEN customer_id % 3 = 1 THEN customer_city ELSE 'moved' END AS customer_city, customer_state FROM customers"""
+    ),
+)
+register(
+    "sink_append_report",
+    lambda m: _batches(m)[1],
+    with_roles(
+        f"""SELECT 'customers' AS dataset, 'first' AS batch, 'LOADED' AS status, b + c AS attempted, b + c AS inserted, {big("0")} AS updated FROM n
+UNION ALL SELECT 'customers', 'second', 'LOADED', a + c, a, c FROM n UNION ALL SELECT 'customers', 'second', 'REPEATED', {big("0")}, {big("0")}, {big("0")} FROM n
+UNION ALL SELECT 'customers', 'third', 'LOADED', a + b + c, {big("0")}, a + b + c FROM n""",
+        {
+            "n": """SELECT count(*) FILTER (customer_id % 3 = 0) AS a, count(*) FILTER (customer_id % 3 = 1) AS b,
+  count(*) FILTER (customer_id % 3 = 2) AS c FROM customers"""
+        },
+    ),
+)
+
 # ---- pipeline
 
 def _run_all(m):
