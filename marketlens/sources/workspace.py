@@ -14,6 +14,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Of intermediates: they cross the network and the disk twice, so size counts for more than speed.
+COMPRESSION = "zstd"
 _SETTING = "spark.checkpoint.dir"
 _local_dir: str | None = None
 
@@ -41,7 +43,7 @@ def stored(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     instead of recomputing the joins behind it, and a lost executor costs a re-read.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).option("compression", COMPRESSION).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     return table.select(*df.columns) if by else table  # the columns of the folders come last
 
@@ -53,7 +55,7 @@ def stored_in_order(df: DataFrame, keys: Sequence[Column | str], name: str) -> D
     table is written, so unlike a partition id it survives retries and re-planning.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.option("compression", COMPRESSION).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     return table.select("*", part_number(F.col("_metadata.file_name")).alias("_file"))
 

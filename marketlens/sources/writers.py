@@ -93,6 +93,17 @@ def _switch(spark: SparkSession, new: str, path: str) -> None:
         fs.delete(old, True)
 
 
+def moved(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder to a place that does not exist yet; False, and nothing done, in another file system."""
+    (source_at, fs), (target_at, other) = _hadoop(spark, source), _hadoop(spark, target)
+    if not fs.getUri().equals(other.getUri()):
+        return False
+    fs.mkdirs(target_at.getParent())
+    if not fs.rename(source_at, target_at):
+        raise LoadError(f"{target}: {source} cannot be moved there")
+    return True
+
+
 def _load_row(spark: SparkSession, name: str, attempted: int, inserted: int, skipped: int) -> DataFrame:
     return spark.range(1).select(
         F.lit(name).alias("dataset"),

@@ -1,9 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from marketlens.model import RULES
 from marketlens.operators.quality import CircuitBreaker
-from marketlens.plans import etl
+from marketlens.plans import etl, quarantine
 from marketlens.plans.manifest import Manifest
 from marketlens.plans.quarantine import quarantine_log, quarantined, route
 from marketlens.sources import readers
@@ -75,3 +77,22 @@ def test_a_hot_parent_is_one_key(spark):
     routed = route("orders", orders, {"customers": customers})
     assert routed.quarantined_rows == 30
     assert {tuple(r["_violations"]) for r in routed.rejected.collect()} == {("orders_customer_foreign_key",)}
+
+
+def test_many_lost_keys_are_hashed_and_rows_are_not_sorted(spark, tables, monkeypatch):
+    """The join that marks orphans moves the row as delivered, its verdict and its key, and sorts none of them."""
+    monkeypatch.setattr(quarantine, "FEW_KEYS", 0)
+    customers, orders = route("customers", tables["customers"]), tables["orders"].withColumn("note", F.lit("as is"))
+    marked = quarantine.violations("orders", orders, {"customers": customers.valid})
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan.split("ShuffledHashJoin")[0]
+    assert [r["order_id"] for r in marked.filter(F.size("_violations") > 0).collect()] == ["lost"]
+    assert marked.columns == [*orders.columns, "_violations"]
+
+
+def test_rejected_rows_are_moved_not_written_again(spark, tables, tmp_path):
+    routed = route("customers", tables["customers"])
+    kept = quarantine.set_aside(routed, str(tmp_path / "q"), "r1")
+    assert not os.path.exists(routed.folder) and kept.folder == f"{tmp_path}/q/customers/run=r1"
+    assert [r["customer_id"] for r in kept.rejected.collect()] == ["bad"] and kept.valid.count() == 20
+    assert quarantined(spark, str(tmp_path / "q"), "customers").columns == [*RULES["customers"].types, "_violations", "run"]
