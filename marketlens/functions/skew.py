@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.sources.workspace import stored
@@ -12,6 +13,21 @@ from marketlens.sources.workspace import stored
 #: A key is heavy if it holds more than this share of all rows: there are fewer than 1 / SHARE such keys.
 SHARE = 0.001
 
+#: Keys are counted in this many buckets. A bucket is crowded if it holds that many rows, and several times the mean.
+BUCKETS = 4096
+CROWDED_ROWS = 200_000
+
+
+def crowded_buckets(rows: DataFrame, keys: Sequence[str]) -> tuple[Column, list[int]]:
+    """The bucket of a row by its keys, and the buckets that a repeated key fills; null is a key like others.
+
+    One pass over the keys, which sends at most ``BUCKETS`` counts per task.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    counts = rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most BUCKETS rows
+    limit = max(CROWDED_ROWS, 4 * sum(r["n"] for r in counts) // BUCKETS)
+    return bucket, sorted(r["bucket"] for r in counts if r["n"] > limit)
+
 
 def heavy_keys(facts: DataFrame, key: str, share: float = SHARE) -> DataFrame:
     """The non-null keys that hold more than ``share`` of the rows, written once; fewer than 1 / share rows."""

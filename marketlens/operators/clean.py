@@ -21,6 +21,7 @@ from marketlens.functions.exprs import (
     title_case,
     zero_pad,
 )
+from marketlens.functions.skew import crowded_buckets
 from marketlens.model import MALFORMED, RULES, DatasetRules
 
 # The literal markers that mean "missing".
@@ -64,8 +65,10 @@ def dedup_keys(df: DataFrame, rules: DatasetRules) -> list[str]:
 def clean_dedup(df: DataFrame, rules: DatasetRules) -> DataFrame:
     """One row per key (all columns if there is none): the smallest by all other columns.
 
-    ``min`` over one struct combines on the map side, so a key repeated in a third of all
-    rows never gathers in one task the way a ``row_number`` window would.
+    Such an aggregate sorts its rows. To combine on the map side as well would sort, and spill, all rows a
+    second time, which pays only for keys of many rows. So the rows meet by one exchange and are sorted
+    there; only a crowded share of the keys is combined first, so that a key repeated in a third of all
+    rows never gathers in one task the way it would in a ``row_number`` window.
     """
     keys = dedup_keys(df, rules)
     rest = [c for c in df.columns if c not in keys]
@@ -73,7 +76,16 @@ def clean_dedup(df: DataFrame, rules: DatasetRules) -> DataFrame:
         return df.distinct()
     # Nulls sort last within the struct: (is null, value) pairs.
     first = F.min(F.struct(*[x for c in rest for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c))]))
-    kept = df.groupBy(*keys).agg(first.alias("_row"))
+    kinds = dict(df.dtypes)
+    exact = [k for k in keys if kinds[k] not in ("double", "float")]  # others are grouped by normalised values
+    if not exact:
+        kept = df.groupBy(*keys).agg(first.alias("_row"))
+    else:
+        bucket, crowded = crowded_buckets(df, exact)
+        few = df.filter(~bucket.isin(crowded)) if crowded else df
+        kept = few.repartition(*exact).groupBy(*keys).agg(first.alias("_row"))
+        if crowded:
+            kept = kept.unionByName(df.filter(bucket.isin(crowded)).groupBy(*keys).agg(first.alias("_row")))
     return kept.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 

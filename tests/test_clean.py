@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from marketlens.functions import skew
 from marketlens.functions.exprs import title_case
 from marketlens.model import RULES
 from marketlens.operators import clean as C
@@ -93,3 +94,24 @@ def test_step_report_counts_cells(spark):
 def test_transform_is_lazy_and_free_of_python(spark):
     plan = C.transform_dataset("customers", customers(spark).select(*[F.col(c) for c in RULES["customers"].types]))
     assert "PythonUDF" not in plan._jdf.queryExecution().toString()
+
+
+def test_dedup_sorts_rows_once_and_combines_crowded_keys_first(spark, monkeypatch):
+    rows = [("a", "1", "2.5"), ("a", "1", None), ("a", "1", "1.5"), (None, "1", "9"), (None, "1", "8"), ("b", "2", None)]
+    raw = spark.createDataFrame(rows, "order_id string, payment_sequential string, payment_value string")
+    raw = C.clean_numeric(raw, RULES["payments"])
+    want = [(None, 1.0, 8.0), ("a", 1.0, 1.5), ("b", 2.0, None)]
+
+    def kept():
+        out = C.clean_dedup(raw, RULES["payments"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        return plan, sorted(map(tuple, out.collect()), key=str)
+
+    plan, got = kept()
+    # one exchange, with no aggregate, and so no sort, below it
+    below = plan.split("Exchange hashpartitioning(order_id")
+    assert len(below) == 2 and "Aggregate" not in below[1]
+    assert got == sorted(want, key=str)
+    monkeypatch.setattr(skew, "CROWDED_ROWS", 1)
+    plan, got = kept()
+    assert "Union" in plan and got == sorted(want, key=str)
