@@ -11,7 +11,7 @@ from marketlens.operators import clean, kpi
 from marketlens.plans import etl
 from marketlens.plans.manifest import Manifest
 from marketlens.sources import appends, readers, writers
-from marketlens.sources.workspace import shared_dir
+from marketlens.sources.workspace import shared_dir, stored
 from verification.eda_delivery_review_queries import STATES
 from verification.quality_queries import raw_tables, sql_name
 from verification.registry import QUERIES, ORACLES, register
@@ -208,7 +208,7 @@ FROM payments GROUP BY payment_type"""
 def _loaded(names):
     def query(m):
         base = folder(m.orders.sparkSession)
-        ready = clean.transform_batch(text_tables(m))
+        ready = clean.transform_batch(etl.staged(text_tables(m)), keep=stored)
         return writers.load_batch({n: ready[n] for n in names}, base)
 
     return query
