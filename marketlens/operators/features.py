@@ -88,18 +88,17 @@ def order_profile(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Per person, over its orders: profile, RFM, delivery and order-gap inputs.
 
     Orders are reduced per customer id first (combined on the map side, whatever its share),
-    then joined to the persons and merged.
+    then joined to the persons and merged. What needs a distinct count or a struct, and so a sort of its
+    rows, is reduced apart from the many sums, which are hashed.
     """
     ts = F.col("order_purchase_timestamp")
     taken = days_between("order_delivered_customer_date", "order_purchase_timestamp")
     delay = days_between("order_delivered_customer_date", "order_estimated_delivery_date")
     value = dbl("order_value")
     per_customer = orders.groupBy("customer_id").agg(
-        F.max(F.struct(ts, F.col("order_id"))).alias("latest"),
         F.min(ts).alias("first"),
         F.max(ts).alias("last"),
         F.count(ts).alias("dated"),
-        F.countDistinct("order_id").alias("orders"),
         F.sum(money("order_value")).alias("money"),
         F.count(value).alias("value_n"),
         F.avg(value).alias("value_mean"),
@@ -114,8 +113,12 @@ def order_profile(customers: DataFrame, orders: DataFrame) -> DataFrame:
         count_if(delay > 0).alias("late"),
         F.count("order_delivered_customer_date").alias("delivered"),
     )
+    per_order = orders.groupBy("customer_id", "order_id").agg(F.max(ts).alias("ts"))
+    latest = per_order.groupBy("customer_id").agg(
+        F.max(F.struct("ts", "order_id")).alias("latest"), F.count("order_id").alias("orders")
+    )
     people = customers.select("customer_id", PERSON, "customer_state", "customer_city")
-    joined = per_customer.join(people, "customer_id")
+    joined = per_customer.join(latest, "customer_id").join(people, "customer_id")
     gaps = F.sum("dated") - 1  # the gaps between consecutive orders sum to last - first
     n, mean = F.col("value_n"), F.col("value_mean")
     # Merged sum of squares about the overall mean, from the parts' means and sums of squares.
@@ -142,10 +145,11 @@ def order_profile(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 def category_habits(joined: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Favourite category (count, then name) and number of categories per person."""
-    per_order_product = items.groupBy("order_id", "product_id").agg(F.count("order_item_id").alias("n"))
+    # An order has few items of one product, but many of few categories.
+    narrow = items.select("order_id", "product_id", "order_item_id")
+    per_order = items_with_category(narrow, products).groupBy("order_id", "effective_category").agg(F.count("order_item_id").alias("n"))
     per_person = (
-        items_with_category(per_order_product, products)
-        .join(joined.select("order_id", PERSON), "order_id")
+        per_order.join(joined.select("order_id", PERSON), "order_id")
         .groupBy(PERSON, "effective_category")
         .agg(F.sum("n").alias("n"))
     )
@@ -354,13 +358,15 @@ def temporal_features(
     observed = joined.filter(ts < start)
     taken = days_between("order_delivered_customer_date", "order_purchase_timestamp")
     delay = days_between("order_delivered_customer_date", "order_estimated_delivery_date")
-    when = F.struct(ts, F.col("order_id"))
+    # As in ``order_profile``, what needs a sort is reduced apart from the sums.
+    first = observed.groupBy(F.col(PERSON).alias("_person")).agg(
+        F.min(F.struct(ts, "order_id", "customer_state", "customer_city")).alias("_first")
+    )
+    distinct = observed.select(F.col(PERSON).alias("_buyer"), "order_id").distinct()
+    counted = distinct.groupBy("_buyer").agg(F.count("order_id").alias("obs_frequency_orders"))
     profile = observed.groupBy(PERSON).agg(
-        F.min_by("customer_state", when).alias("customer_state"),
-        F.min_by("customer_city", when).alias("customer_city"),
         F.min(ts).alias("first_purchase"),
         F.max(ts).alias("last_purchase"),
-        F.countDistinct("order_id").alias("obs_frequency_orders"),
         F.sum("order_price").alias("price"),
         F.sum("items_qty").alias("obs_total_items"),
         money_mean("order_freight").alias("obs_avg_freight"),
@@ -369,6 +375,12 @@ def temporal_features(
         count_if(delay > 0).alias("late_orders"),
         F.count("order_delivered_customer_date").alias("delivered_orders"),
     )
+    # Orders without a person are one group, like those of a person.
+    profile = (
+        profile.join(first, F.col(PERSON).eqNullSafe(F.col("_person")))
+        .join(counted, F.col(PERSON).eqNullSafe(F.col("_buyer")))
+        .withColumns({c: F.col(f"_first.{c}") for c in ("customer_state", "customer_city")})
+    )
     pay = payment_habits(observed, payments).select(
         PERSON, F.col("avg_installments").alias("obs_avg_installments"), F.col("preferred_payment_method").alias("obs_preferred_payment")
     )

@@ -76,3 +76,23 @@ def test_cutoff_is_strict_and_horizon_half_open(spark):
         assert r["obs_customer_age_days"] >= r["obs_recency_days"] >= 0
         assert (r["obs_preferred_payment"], r["obs_avg_review_score"], r["obs_avg_installments"]) == ("credit_card", 4.0, 1.0)
         assert r["obs_frequency_orders"] == 1 and r["first_purchase_date"] < "2017-06-01"
+
+
+def test_first_order_gives_state_and_city_and_orders_are_counted_once(spark):
+    """Two rows of one order, a tie in time, and an order without a person."""
+    ts = "cast(order_purchase_timestamp as timestamp_ntz) order_purchase_timestamp"
+    nothing = "cast(null as timestamp_ntz)"
+    customers = spark.createDataFrame([(1, 10, "SP", "a"), (2, 10, "RJ", "b"), (3, None, "MG", "c")], "customer_id long, customer_unique_id long, customer_state string, customer_city string")
+    rows = [(5, 2, "2017-01-02"), (4, 1, "2017-01-02"), (4, 1, "2017-01-02"), (6, 3, "2017-01-03")]
+    orders = spark.createDataFrame(rows, "order_id long, customer_id long, order_purchase_timestamp string").selectExpr(
+        "order_id", "customer_id", ts, f"{nothing} order_delivered_customer_date", f"{nothing} order_estimated_delivery_date"
+    )
+    items = spark.createDataFrame([(4, 1, 2.0, 1.0)], "order_id long, order_item_id int, price double, freight_value double")
+    payments = spark.createDataFrame([(4, 1, "boleto", 1, 3.0)], "order_id long, payment_sequential int, payment_type string, payment_installments int, payment_value double")
+    reviews = spark.createDataFrame([(1, 4, 5)], "review_id long, order_id long, review_score int")
+    out = X.temporal_features(customers, orders, items, payments, reviews, "2017-06-01")
+    got = {r["customer_unique_id"]: (r["customer_state"], r["customer_city"], r["obs_frequency_orders"]) for r in out.collect()}
+    assert got == {10: ("SP", "a", 2), None: ("MG", "c", 1)}
+    # the many sums are hashed: neither a distinct count nor a struct makes them a sorted aggregate
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "distinct order_id" not in plan and not [x for x in plan.splitlines() if "SortAggregate" in x and "delivered" in x]
