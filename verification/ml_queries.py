@@ -165,12 +165,12 @@ def _hurdle(m):
 register("clv_hurdle", _hurdle)
 
 
-def _clv_run(m) -> clv.ClvRun:
-    return clv.train_clv(temporal(m), SPLIT)
+def _clv_run(m, features=None) -> clv.ClvRun:
+    return clv.train_clv(temporal(m) if features is None else features, SPLIT)
 
 
-def _repeat_run(m) -> repeat_purchase.RepeatRun:
-    return repeat_purchase.train_repeat(temporal(m), SPLIT)
+def _repeat_run(m, features=None) -> repeat_purchase.RepeatRun:
+    return repeat_purchase.train_repeat(temporal(m) if features is None else features, SPLIT)
 
 
 register("ml_importance", lambda m: _clv_run(m).importance())
@@ -190,20 +190,20 @@ def _export(m):
 register("ml_export", _export)
 
 
-def _requests(m):
+def _requests(features):
     """Every customer once by id, and once as an unknown one with its own recency."""
-    f = temporal(m).select("customer_unique_id", "obs_recency_days", "customer_state")
+    f = features.select("customer_unique_id", "obs_recency_days", "customer_state")
     known = f.select(F.concat(F.lit("k"), "customer_unique_id").alias("request_id"), F.col("customer_unique_id").alias("customer_id"), F.lit(None).cast("double").alias("recency_days"), F.col("customer_state").alias("state"))
     fresh = f.select(F.concat(F.lit("f"), "customer_unique_id"), -F.col("customer_unique_id") - 1, "obs_recency_days", "customer_state")
     return known.union(fresh)
 
 
-def _models(m) -> tuple[scoring.Models, scoring.Models]:
-    """The three fitted models, as fitted and as loaded again from a store."""
+def _models(m, features) -> tuple[scoring.Models, scoring.Models]:
+    """The three fitted models, as fitted and as loaded again from a store. ``features``: the temporal ones, stored."""
     spark = m.orders.sparkSession
     path = f"{shared_dir(spark)}/models-{uuid.uuid4().hex}"
     runs = concurrently(
-        {"clv": lambda: _clv_run(m), "repeat": lambda: _repeat_run(m), "segments": lambda: segmentation.segment(stored(store(m), "store"))}
+        {"clv": lambda: _clv_run(m, features), "repeat": lambda: _repeat_run(m, features), "segments": lambda: segmentation.segment(stored(store(m), "store"))}
     )
     models.export_all(runs["clv"], runs["repeat"], runs["segments"], path)
     return models.fitted(runs["clv"], runs["repeat"], runs["segments"]), models.load_models(spark, path)
@@ -211,8 +211,9 @@ def _models(m) -> tuple[scoring.Models, scoring.Models]:
 
 def _score_batch(m):
     """Requests scored with the loaded models, next to what the fitted ones give."""
-    fitted, loaded = _models(m)
-    requests = stored(_requests(m), "requests")
+    features = stored(temporal(m), "temporal")
+    fitted, loaded = _models(m, features)
+    requests = stored(_requests(features), "requests")
     one, other = (scoring.score_requests(requests, x) for x in (loaded, fitted))
     answers = [c for c in one.columns if c != "request_id"]
     other = other.select("request_id", F.struct(*answers).alias("fitted"))
