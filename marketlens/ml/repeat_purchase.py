@@ -204,9 +204,14 @@ def train_repeat(features: DataFrame, split_date: str) -> RepeatRun:
     part_n, full_n = part.count(), full.count()
     trial, final = estimators(part_n), estimators(full_n)
 
-    def fit_one(name: str) -> tuple[object, float, DataFrame]:
-        chosen = best_threshold(scored(trial[name].fit(part), held)).first()  # one row
-        threshold, model = chosen["optimal_threshold"], final[name].fit(full)
+    # The trial and the final fit of a model do not need each other: all run side by side.
+    jobs = {f"trial {name}": (lambda n=name: best_threshold(scored(trial[n].fit(part), held)).first()) for name in trial}  # one row
+    jobs |= {f"final {name}": (lambda n=name: final[n].fit(full)) for name in final}
+    fits = concurrently(jobs)
+
+    def judged(name: str) -> tuple[object, float, DataFrame]:
+        chosen, model = fits[f"trial {name}"], fits[f"final {name}"]
+        threshold = chosen["optimal_threshold"]
         rows = stored(scored(model, tested).select("score", LABEL), "test-scores")
         lift = lift_top5(rows)
         lift = lift.withColumnsRenamed({c: f"top5_{c}" for c in lift.columns})
@@ -219,7 +224,7 @@ def train_repeat(features: DataFrame, split_date: str) -> RepeatRun:
         )
         return model, threshold, named
 
-    fitted = concurrently({name: (lambda n=name: fit_one(n)) for name in final})
+    fitted = concurrently({name: (lambda n=name: judged(n)) for name in final})
     models = {name: model for name, (model, _, _) in fitted.items()}
     thresholds = {name: threshold for name, (_, threshold, _) in fitted.items()}
     comparison = reduce(DataFrame.unionByName, [frame for _, _, frame in fitted.values()])
