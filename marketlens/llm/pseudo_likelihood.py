@@ -34,6 +34,9 @@ BATCH = 4096
 RATE = 0.25
 BLOCK = 1 << 14  # parameters averaged together
 _STEP = 1 << 13  # words scored at once
+_SHORT = 4  # rows of a run that are added place by place
+_SAFE = 60.0  # exponentials of numbers up to this size, and sums of CLASSES of them, are far from a float's ends
+_ONES = np.ones(CLASSES, dtype=np.float32)
 
 
 @dataclass(frozen=True)
@@ -93,13 +96,31 @@ def neighbours(words: Words, ids: np.ndarray) -> np.ndarray:
 
 def _forward(parts: tuple[np.ndarray, ...], around: np.ndarray) -> tuple[np.ndarray, ...]:
     embed, place, bias, out, shift = parts
-    seen = embed[around]
+    seen = embed.take(around, axis=0)
     hidden = np.tanh(np.einsum("nkd,kd->nd", seen, place) + bias)
-    logits = hidden @ out + shift
-    logits -= logits.max(axis=1, keepdims=True)
+    logits = hidden @ out
+    logits += shift
+    if not (logits.min() > -_SAFE and logits.max() < _SAFE):  # only there a sum of exponentials could overflow or vanish
+        logits -= logits.max(axis=1, keepdims=True)
     return seen, hidden, logits
 
 
+def _sums(rows: np.ndarray, order: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Of each run of ``rows[order]``. Most runs are short: their rows are added place by place."""
+    size = np.diff(np.append(cuts, len(order)))
+    out = rows.take(order.take(cuts), axis=0)
+    for k in range(1, _SHORT):
+        longer = np.flatnonzero(size > k)
+        out[longer] += rows.take(order.take(cuts.take(longer) + k), axis=0)
+    longest = np.flatnonzero(size > _SHORT)
+    if len(longest):
+        left = size.take(longest) - _SHORT
+        ends = np.cumsum(left)
+        at = np.arange(ends[-1]) + np.repeat(cuts.take(longest) + _SHORT - (ends - left), left)
+        out[longest] += np.add.reduceat(rows.take(order.take(at), axis=0), ends - left, axis=0)
+    return out
+
+
 def log_probabilities(net: Network, words: Words) -> np.ndarray:
     """Of every word, given the words on both sides of it."""
     ids, parts = buckets(words), net.parts(net.flat)
@@ -108,7 +129,8 @@ def log_probabilities(net: Network, words: Words) -> np.ndarray:
         at = np.arange(a, min(a + _STEP, len(ids)))
         _, _, logits = _forward(parts, around[at])
         own = ids[at]
-        out[at] = logits[np.arange(len(at)), net.klass[own]] - np.log(np.exp(logits).sum(axis=1)) + net.log_share[own]
+        chosen = logits[np.arange(len(at)), net.klass[own]]
+        out[at] = chosen - np.log(np.exp(logits, out=logits) @ _ONES) + net.log_share[own]
     return out
 
 
@@ -117,18 +139,18 @@ def train(net: Network, flat: np.ndarray, squares: np.ndarray, around: np.ndarra
     parts, sums = net.parts(flat), net.parts(squares)
     embed, place, _, out, _ = parts
     seen, hidden, logits = _forward(parts, around)
-    p = np.exp(logits)
-    p /= p.sum(axis=1, keepdims=True)
-    p[np.arange(len(target)), net.klass[target]] -= 1
-    p /= len(target)
+    n = len(target)
+    p = np.exp(logits, out=logits)
+    p *= (1 / (n * (p @ _ONES)))[:, None]
+    p[np.arange(n), net.klass[target]] -= np.float32(1 / n)
     back = (p @ out.T) * (1 - hidden**2)
-    grads = [None, np.einsum("nkd,nd->kd", seen, back), back.sum(axis=0), hidden.T @ p, p.sum(axis=0)]
+    grads = [None, np.einsum("nkd,nd->kd", seen, back), back.sum(axis=0), hidden.T @ p, np.ones(n, dtype=p.dtype) @ p]
     pull = (back[:, None, :] * place).reshape(-1, WIDTH)
     order = np.argsort(around, axis=None, kind="stable")
     sorted_ = around.ravel()[order]
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(sorted_)) + 1))
     touched = sorted_[cuts]
-    rows = np.add.reduceat(pull[order], cuts, axis=0)
+    rows = _sums(pull, order, cuts)
     rows[touched == BUCKETS] = 0
     sums[0][touched] += rows**2
     embed[touched] -= RATE * rows / (np.sqrt(sums[0][touched]) + 1e-6)

@@ -432,3 +432,23 @@ def test_numbers_grow_at_their_end(spark):
     made = spark.createDataFrame(rows, "kind string, mention string, surrogate string")
     new = [x[0] for x in made.select(surrogates._rendered(F.lit(""))).collect()]
     assert new == ["987-65-43210", "+1 222 333-4444", "4.5.6.7:81"]
+
+
+def test_lm_gradients_of_repeated_words_are_summed_and_wide_logits_stay_finite():
+    from marketlens.llm import pseudo_likelihood as lm
+
+    rng = np.random.default_rng(3)
+    keys = np.concatenate((np.repeat(7, 40), np.repeat(9, lm._SHORT), rng.integers(10, 300, 500)))
+    rows = rng.normal(size=(len(keys), 5)).astype(np.float32)
+    order = np.argsort(keys, kind="stable")
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(keys[order])) + 1))
+    want = [rows[keys == k].sum(axis=0, dtype=np.float64) for k in np.unique(keys)]
+    assert np.allclose(lm._sums(rows, order, cuts), want, atol=1e-4)
+    embed, place = np.zeros((3, lm.WIDTH), np.float32), np.ones((2, lm.WIDTH), np.float32)
+    out = np.zeros((lm.WIDTH, lm.CLASSES), np.float32)
+    for top in (5, 500):  # plain exponentials of 500 overflow
+        shift = np.linspace(-top, top, lm.CLASSES).astype(np.float32)
+        _, _, logits = lm._forward((embed, place, np.zeros(lm.WIDTH, np.float32), out, shift), np.array([[0, 1]]))
+        p = np.exp(logits) / np.exp(logits).sum()
+        wide = shift.astype(np.float64) - top
+        assert np.allclose(p, np.exp(wide) / np.exp(wide).sum(), atol=1e-6)
