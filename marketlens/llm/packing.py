@@ -25,7 +25,7 @@ from marketlens.sources.workspace import stored
 
 SEQUENCE = 2048  # a power of two
 END = 1  # the id that closes a document
-CACHED_WORDS = 400_000  # of each generation
+CACHED_WORDS = 100_000  # of each generation; some 200 bytes each, held by every worker until it ends
 CHUNK = 4 << 20  # bytes of text whose distinct words are looked up together
 
 

@@ -452,3 +452,7 @@ def test_lm_gradients_of_repeated_words_are_summed_and_wide_logits_stay_finite()
         p = np.exp(logits) / np.exp(logits).sum()
         wide = shift.astype(np.float64) - top
         assert np.allclose(p, np.exp(wide) / np.exp(wide).sum(), atol=1e-6)
+
+
+def test_packing_remembers_a_bounded_number_of_words():
+    assert 2 * packing.CACHED_WORDS <= 200_000  # two generations of some 200 bytes a word, in every worker
