@@ -11,7 +11,8 @@ are compared over all their bits, so every link of the rule is found.
 
 The number of fingerprints that meet by chance at an anchor is 15 of 2**26 of all; a family of near copies
 may crowd one. There, a fingerprint is first compared with the heads of the groups found so far, and
-only what is not yet in one group is compared pair by pair.
+only what is not yet in one group is compared pair by pair. A task replaces its links by stars, each component's
+members with the smallest of them, so what goes on grows with the members of a family and not with its pairs.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ PARTS = BLOCKS // 2  # 64-bit numbers, each with two blocks
 SMALL = 64  # fingerprints at an anchor that are compared pair by pair at once
 _SLICE = 1 << 14  # shingles whose bits are counted at once
 _STEP = 4096  # fingerprints replicated at once
+_HELD = 1 << 18  # links that a task holds before it replaces them by stars
 _USED = np.uint64((1 << 2 * HALF) - 1)
 
 
@@ -170,17 +172,38 @@ def links_of(key: np.ndarray, prints: np.ndarray, reach: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
 
 
+def stars(links: np.ndarray) -> np.ndarray:
+    """(members, 2): each node of some links but the smallest of its component, and that smallest one."""
+    nodes, ends = np.unique(links, return_inverse=True)
+    ends = ends.reshape(-1, 2)
+    label = np.arange(len(nodes))
+    while len(ends):
+        ends = np.sort(label[ends], axis=1)
+        ends = ends[ends[:, 0] != ends[:, 1]]
+        np.minimum.at(label, ends[:, 1], ends[:, 0])
+        while (label[label] != label).any():
+            label = label[label]
+    apart = label != np.arange(len(nodes))
+    return np.stack((nodes[apart], nodes[label[apart]]), axis=1)
+
+
 def _links(reach: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def emit(rows: list[pa.RecordBatch], last: bool = False) -> Iterator[pa.RecordBatch]:
             rows = [r for r in rows if r.num_rows]
             if rows:
                 key = np.concatenate([r.column(0).to_numpy() for r in rows])
                 found = links_of(key, np.concatenate([_matrix(r, 1) for r in rows]), reach)
                 found = found[found[:, 0] != found[:, 1]]
                 if len(found):
-                    found = np.unique(np.sort(found, axis=1), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["src", "dst"])
+                    held.append(found)
+            if held and (last or sum(map(len, held)) > _HELD):
+                held[:] = [stars(np.concatenate(held))]
+                if last or len(held[0]) > _HELD // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(held[0][:, 0]), pa.array(held[0][:, 1])], names=["src", "dst"])
+                    held.clear()
 
         # The rows come sorted by anchor; the last anchor of a batch may go on in the next ones.
         rest: list[pa.RecordBatch] = []
@@ -193,13 +216,13 @@ def _links(reach: int):
                 yield from emit([*rest, batch.slice(0, cut)])
                 rest = []
             rest.append(batch.slice(cut))
-        yield from emit(rest)
+        yield from emit(rest, last=True)
 
     return of
 
 
 def wide_links(distinct: DataFrame, reach: int = REACH) -> DataFrame:
-    """(src, dst): names of linked fingerprints, at least the links that hold each component together."""
+    """(src, dst): names of fingerprints that links lead from one to the other; they hold each component together."""
     placed = distinct.select(*_FIELDS).mapInArrow(replicas, f"anchor long, {_PRINT}")
     placed = placed.repartition("anchor").sortWithinPartitions("anchor")
     return placed.mapInArrow(_links(reach), "src long, dst long").distinct()

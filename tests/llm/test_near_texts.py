@@ -94,6 +94,32 @@ def test_crowded_anchor_holds_components_together():
     assert len(crowd) < len(prints)
 
 
+def test_links_grow_with_the_members_of_a_family(spark):
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 62, near_texts.PARTS, dtype=np.uint64)
+    prints = np.tile(base, (300, 1))
+    for row in prints:  # any two differ in at most four bits
+        for k in rng.integers(0, near_texts.PARTS, 2):
+            row[k] ^= np.uint64(1 << int(rng.integers(0, 62)))
+    prints = np.unique(prints, axis=0)
+    rows = [[int(x) for x in row.view(np.int64)] for row in prints]
+    distinct = spark.createDataFrame(rows, near_texts._PRINT)
+    links = near_texts.wide_links(distinct).collect()
+    place = {int(n): k for k, n in enumerate(near_texts.names(prints))}
+    assert components(len(prints), [(place[x.src], place[x.dst]) for x in links]) == [0] * len(prints)
+    assert len(links) <= (len(prints) - 1) * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_stars_keep_components(monkeypatch):
+    rng = np.random.default_rng(10)
+    links = rng.integers(-500, 500, (400, 2))
+    got = near_texts.stars(links)
+    nodes = sorted(set(links.ravel().tolist()))
+    at = {x: k for k, x in enumerate(nodes)}
+    want = components(len(nodes), [(at[a], at[b]) for a, b in links.tolist()])
+    assert sorted(map(tuple, got.tolist())) == sorted((x, nodes[want[at[x]]]) for x in nodes if want[at[x]] != at[x])
+
+
 def test_long_and_short_texts():
     r = random.Random(6)
     long = words(r, 40_000)
