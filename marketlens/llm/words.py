@@ -30,6 +30,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def hashed(body: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64 bits for each word; ``body`` holds their bytes in a row, none of them is empty."""
+    if not len(sizes):
+        return np.zeros(0, dtype=np.uint64)
+    inner = np.cumsum(sizes) - sizes
+    place = np.arange(sizes.sum()) - np.repeat(inner, sizes)
+    values = _TABLES[body, place % _REACH]
+    if place.max() >= _REACH:
+        turn = place // _REACH
+        values = mixed(values * _LONG[turn % len(_LONG)] + (turn // len(_LONG)).astype(np.uint64))
+    return mixed(np.add.reduceat(values, inner) + sizes.astype(np.uint64))
+
+
 class Words:
     """The words of some texts, in one row: ``starts`` and ``ends`` in ``flat``, ``doc`` (index of the
     text), ``hashes`` (64 bits, by tables of random numbers per byte and place) and, per text,
@@ -44,19 +57,7 @@ class Words:
         bounds = np.cumsum([0, *[len(t) + 1 for t in texts]])
         self.first = np.searchsorted(self.starts, bounds)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        self.hashes = self._hash(raw, space)
-
-    def _hash(self, raw: np.ndarray, space: np.ndarray) -> np.ndarray:
-        if not len(self.starts):
-            return np.zeros(0, dtype=np.uint64)
-        sizes = self.ends - self.starts
-        inner = np.cumsum(sizes) - sizes
-        place = np.arange(sizes.sum()) - np.repeat(inner, sizes)
-        values = _TABLES[raw[~space], place % _REACH]
-        if place.max() >= _REACH:
-            turn = place // _REACH
-            values = mixed(values * _LONG[turn % len(_LONG)] + (turn // len(_LONG)).astype(np.uint64))
-        return mixed(np.add.reduceat(values, inner) + sizes.astype(np.uint64))
+        self.hashes = hashed(raw[~space], self.ends - self.starts)
 
     def __len__(self) -> int:
         return len(self.starts)

@@ -205,6 +205,38 @@ def test_packing_forgets_and_learns_again(monkeypatch):
     assert got == [encoder.tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts]
 
 
+def test_packing_splits_any_characters_like_the_library(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "HELD_WORDS", 200)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder, r = Tokenizer.from_file(path), packing._Encoder(path), random.Random(4)
+    assert encoder.kind[ord("é")] == packing._LETTER and encoder.kind[ord("²")] == packing._ODD  # not one by one in Python
+    chars = [chr(c) for c in range(1, 0x260)] + list("éÉßñ '|<>019azAZ.,!ΣςİÅ\u0301\u3000漢字😀") * 8
+    texts = ["".join(r.choice(chars) for _ in range(r.randrange(60))) for _ in range(1500)]
+    for a in range(0, len(texts), 100):
+        part = texts[a : a + 100]
+        got = [x.tolist() for x in packing._encoded(encoder, [t.encode() for t in part])]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in part]
+
+
+def test_packing_remembers_many_words_in_arrays(monkeypatch):
+    import public_tokenizers
+
+    encoder = packing._Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    parts = [[b" ".join(b"%dx" % n for n in range(a, a + 120_000))] for a in (0, 120_000, 240_000)]
+    first = [packing._encoded(encoder, p)[0] for p in parts]
+
+    def never(words):
+        raise AssertionError("forgotten")
+
+    monkeypatch.setattr(encoder, "encode", never)
+    assert all((packing._encoded(encoder, p)[0] == ids).all() for p, ids in zip(parts, first))
+    held = encoder.held
+    assert held.words.nbytes + sum(x.nbytes for x in (held.hashes, held.begins, held.sizes, held.met, held.flat)) < 100 * len(held.hashes)
+
+
 def test_packing_is_an_exact_cut(spark, odd):
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
