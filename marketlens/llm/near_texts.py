@@ -36,6 +36,7 @@ PARTS = BLOCKS // 2  # 64-bit numbers, each with two blocks
 SMALL = 64  # fingerprints at an anchor that are compared pair by pair at once
 _SLICE = 1 << 14  # shingles whose bits are counted at once
 _STEP = 4096  # fingerprints replicated at once
+_PLACE = 10  # bits of an anchor by which the exchange deals
 _HELD = 1 << 18  # links that a task holds before it replaces them by stars
 _USED = np.uint64((1 << 2 * HALF) - 1)
 
@@ -103,17 +104,38 @@ def _prints(size: int):
     return of
 
 
+def _block(prints: np.ndarray, block: np.ndarray | int) -> np.ndarray:
+    """The 31 bits of a block of each fingerprint."""
+    block = np.broadcast_to(block, len(prints))
+    bits = prints[np.arange(len(prints)), block // 2] >> (HALF * (block % 2)).astype(np.uint64)
+    return (bits & np.uint64((1 << HALF) - 1)).astype(np.uint32)
+
+
 def replicas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, parts): each distinct fingerprint at its anchors of every block."""
+    """(place, parts): each distinct fingerprint once for all its anchors of a block that share their last bits."""
     for batch in batches:
         every = _matrix(batch, 0)
         for a in range(0, len(every), _STEP):
             prints = every[a : a + _STEP]
             for block in range(BLOCKS):
-                bits = (prints[:, block // 2] >> np.uint64(HALF * (block % 2))) & np.uint64((1 << HALF) - 1)
-                rows, found = anchors(bits.astype(np.uint32))
-                key = found.astype(np.int64) | np.int64(block << HALF)
-                yield pa.RecordBatch.from_arrays([pa.array(key), *_columns(prints[rows])], names=["anchor", *_FIELDS])
+                rows, found = anchors(_block(prints, block))
+                place = (found & np.uint32((1 << _PLACE) - 1)).astype(np.int64) | block << _PLACE
+                both = np.unique(rows.astype(np.int64) << 32 | place)
+                yield pa.RecordBatch.from_arrays([pa.array(both & 0xFFFFFFFF), *_columns(prints[both >> 32])], names=["place", *_FIELDS])
+
+
+def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, parts): what comes to a place, at all its anchors there."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, _STEP):
+            part = batch.slice(a, _STEP)
+            place, prints = part.column(0).to_numpy(), _matrix(part, 1)
+            block = place >> _PLACE
+            rows, found = anchors(_block(prints, block))
+            here = (found.astype(np.int64) ^ place[rows]) & ((1 << _PLACE) - 1) == 0
+            rows, found = rows[here], found[here]
+            key = found.astype(np.int64) | block[rows] << HALF
+            yield pa.RecordBatch.from_arrays([pa.array(key), *_columns(prints[rows])], names=["anchor", *_FIELDS])
 
 
 def linked(one: np.ndarray, other: np.ndarray, reach: int) -> np.ndarray:
@@ -223,8 +245,8 @@ def _links(reach: int):
 
 def wide_links(distinct: DataFrame, reach: int = REACH) -> DataFrame:
     """(src, dst): names of fingerprints that links lead from one to the other; they hold each component together."""
-    placed = distinct.select(*_FIELDS).mapInArrow(replicas, f"anchor long, {_PRINT}")
-    placed = placed.repartition("anchor").sortWithinPartitions("anchor")
+    placed = distinct.select(*_FIELDS).mapInArrow(replicas, f"place long, {_PRINT}").repartition("place")
+    placed = placed.mapInArrow(spread, f"anchor long, {_PRINT}").sortWithinPartitions("anchor")
     return placed.mapInArrow(_links(reach), "src long, dst long").distinct()
 
 

@@ -110,6 +110,20 @@ def test_links_grow_with_the_members_of_a_family(spark):
     assert len(links) <= (len(prints) - 1) * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_places_hold_every_anchor_once():
+    rng = np.random.default_rng(11)
+    prints = rng.integers(0, 1 << 62, (50, near_texts.PARTS), dtype=np.uint64)
+    batch = near_texts.pa.RecordBatch.from_arrays(near_texts._columns(prints), names=near_texts._FIELDS)
+    sent = list(near_texts.replicas(iter([batch])))
+    got = [(x.column(0)[k].as_py(), x.column(1)[k].as_py()) for x in near_texts.spread(iter(sent)) for k in range(x.num_rows)]
+    want = []
+    for block in range(near_texts.BLOCKS):
+        rows, found = near_texts.anchors(near_texts._block(prints, block))
+        want += [(int(f) | block << near_texts.HALF, int(prints[r, 0])) for r, f in zip(rows, found)]
+    assert sorted(got) == sorted(want)
+    assert sum(x.num_rows for x in sent) < 0.7 * len(want)
+
+
 def test_stars_keep_components(monkeypatch):
     rng = np.random.default_rng(10)
     links = rng.integers(-500, 500, (400, 2))
