@@ -30,6 +30,7 @@ NEAR = 0.25  # of the highest share in any language
 SLOTS_PER_GRAM = 16
 PROBES = 3
 MAX_LANGUAGES = 64  # bits of a mask
+UNSETTLED = 1_000_000  # n-grams of a language that a task holds before it counts them; four bytes each
 UNKNOWN = "und"
 MIN_SCORE = 0.2  # below, the filtering stage rejects a document
 
@@ -82,7 +83,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = grams([letters(texts[i].decode()) for i in np.flatnonzero(langs == lang)])[0]
             held[lang].append(found)
             size[lang] += len(found)
-            if size[lang] > 4_000_000:
+            if size[lang] > UNSETTLED:
                 settle(lang)
                 size[lang] = 0
     for lang in list(held):

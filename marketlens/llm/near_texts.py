@@ -214,10 +214,11 @@ def _links(reach: int):
         held: list[np.ndarray] = []
 
         def emit(rows: list[pa.RecordBatch], last: bool = False) -> Iterator[pa.RecordBatch]:
-            rows = [r for r in rows if r.num_rows]
+            rows = [r for r in spread(iter(rows)) if r.num_rows]
             if rows:
                 key = np.concatenate([r.column(0).to_numpy() for r in rows])
-                found = links_of(key, np.concatenate([_matrix(r, 1) for r in rows]), reach)
+                order = np.argsort(key, kind="stable")
+                found = links_of(key[order], np.concatenate([_matrix(r, 1) for r in rows])[order], reach)
                 found = found[found[:, 0] != found[:, 1]]
                 if len(found):
                     held.append(found)
@@ -227,7 +228,7 @@ def _links(reach: int):
                     yield pa.RecordBatch.from_arrays([pa.array(held[0][:, 0]), pa.array(held[0][:, 1])], names=["src", "dst"])
                     held.clear()
 
-        # The rows come sorted by anchor; the last anchor of a batch may go on in the next ones.
+        # The rows come sorted by place; the last place of a batch may go on in the next ones.
         rest: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
@@ -246,8 +247,8 @@ def _links(reach: int):
 def wide_links(distinct: DataFrame, reach: int = REACH) -> DataFrame:
     """(src, dst): names of fingerprints that links lead from one to the other; they hold each component together."""
     placed = distinct.select(*_FIELDS).mapInArrow(replicas, f"place long, {_PRINT}").repartition("place")
-    placed = placed.mapInArrow(spread, f"anchor long, {_PRINT}").sortWithinPartitions("anchor")
-    return placed.mapInArrow(_links(reach), "src long, dst long").distinct()
+    # Spread and compared in one Python step: two in a row would need two workers for each core.
+    return placed.sortWithinPartitions("place").mapInArrow(_links(reach), "src long, dst long").distinct()
 
 
 def keep_one_near(docs: DataFrame, size: int = SHINGLE, reach: int = REACH) -> DataFrame:

@@ -26,9 +26,10 @@ from marketlens.sources.workspace import stored
 
 SEQUENCE = 2048  # a power of two
 END = 1  # the id that closes a document
-CACHED_WORDS = 100_000  # pieces of odd words as Python objects; some 200 bytes each, held by every worker until it ends
+CACHED_WORDS = 100_000  # pieces of odd words as Python objects; some 200 bytes each, held until the task ends
 HELD_WORDS = 1 << 19  # words in arrays, and as many pieces of words; some 60 bytes each, likewise
-CHUNK = 4 << 20  # bytes of text whose distinct words are looked up together
+TOKENIZED = 8192  # pieces whose tokens are Python objects at a time
+CHUNK = 1 << 20  # bytes of text whose distinct words are looked up together
 
 
 def binary_pieces(n: int, longest: int = SEQUENCE) -> list[tuple[int, int]]:
@@ -67,10 +68,15 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known_split = all(self._own_split(w) == _ASCII_PIECES.findall(w.lower()) for w in PROBES)
+        self.forget()
+        self.kind, self.norm = self._characters()
+
+    def forget(self) -> None:
+        """Drop all words: a worker outlives its task, and other stages run in it."""
         # Ids are kept as bytes: joined at once, and of no interest to the garbage collector.
         self.pieces: dict[str, bytes] = {}
         self.held, self.held_pieces = _Held(), _Held()
-        self.kind, self.norm = self._characters()
+        pa.default_memory_pool().release_unused()
 
     def _own_split(self, word: str) -> list[str]:
         norm = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
@@ -130,9 +136,12 @@ class _Encoder:
         split = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" ".join(forms[k] for k in wide))]
         for k, p in zip(wide, split if len(split) == len(wide) else ["".join(self._own_split(forms[k])) for k in wide]):
             forms[k] = p
-        found = [tokenize(p) for p in forms]
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return np.array([t.id for tokens in found for t in tokens], dtype="<u4"), np.cumsum(sizes) - sizes, sizes
+        flat, sizes = [np.zeros(0, dtype="<u4")], np.zeros(len(forms), dtype=np.int64)
+        for at in range(0, len(forms), TOKENIZED):
+            found = [tokenize(p) for p in forms[at : at + TOKENIZED]]
+            sizes[at : at + len(found)] = list(map(len, found))
+            flat.append(np.array([t.id for tokens in found for t in tokens], dtype="<u4"))
+        return np.concatenate(flat), np.cumsum(sizes) - sizes, sizes
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces[piece] = _packed_ids([t.id for t in self.tokenizer.model.tokenize(piece)])
@@ -241,7 +250,7 @@ def gathered(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndar
 
 
 def _encoder(path: str) -> _Encoder:
-    """This worker's encoder. Workers are reused, and what one task learnt of the words serves the next."""
+    """This worker's encoder. Workers are reused: the next task finds the vocabulary read, but no words."""
     kept = sys.modules.setdefault("_marketlens_packing", types.ModuleType("_marketlens_packing"))
     if getattr(kept, "path", None) != path:
         kept.path, kept.encoder = path, _Encoder(path)
@@ -297,6 +306,7 @@ def _pieces(place: Callable[[], str], longest: int, with_ids: bool):
             if with_ids:
                 cols, names = [*cols, pa.array(ids_out, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
+        encoder.forget()
 
     return cut
 

@@ -158,3 +158,13 @@ def test_odd_rows(spark, odd):
     rows = [(5, near), (6, near + " end"), (None, near), (7, near), (7, other), (7, other), (None, None), (8, "")]
     got = near_texts.keep_one_near(table(spark, rows)).collect()
     assert sorted((x.doc_id, x.text) for x in got) == [(5, near), (7, other), (8, "")]
+
+
+def test_no_task_needs_two_python_workers(spark):
+    """Two Python steps without an exchange between them would hold two workers for each core."""
+    distinct = spark.createDataFrame([(1, 2, 3, 4)], ", ".join(f"p{k} long" for k in range(near_texts.PARTS)))
+    plan = near_texts.wide_links(distinct)._jdf.queryExecution().executedPlan().toString()
+    steps = [x for x in plan.splitlines() if "MapInArrow" in x or "Exchange" in x]
+    kinds = ["MapInArrow" if "MapInArrow" in x else "Exchange" for x in steps]
+    assert kinds.count("MapInArrow") == 2
+    assert all(a == "Exchange" or b == "Exchange" for a, b in zip(kinds, kinds[1:]))

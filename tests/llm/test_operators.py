@@ -237,6 +237,33 @@ def test_packing_remembers_many_words_in_arrays(monkeypatch):
     assert held.words.nbytes + sum(x.nbytes for x in (held.hashes, held.begins, held.sizes, held.met, held.flat)) < 100 * len(held.hashes)
 
 
+def test_packing_leaves_no_words_in_its_worker():
+    """The next stage runs in the same worker."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [" ".join(f"w{n}q" for n in range(a, a + 3000)) for a in (0, 2000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([k]), pa.array([t])], names=["doc_id", "text"]) for k, t in enumerate(texts)]
+    out = list(packing._pieces(lambda: path, 2048, True)(iter(batches)))
+    encoder = packing._encoder(path)
+    assert not len(encoder.held.hashes) and not len(encoder.held_pieces.hashes) and not encoder.pieces
+    for got, text in zip(out, texts):
+        assert sum(got.column("ids").to_pylist(), [])[:-1] == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_grams_are_counted_in_bounded_stretches(monkeypatch):
+    texts = ["abcd efgh ijkl " * 4000] * 60
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en"] * 60)], names=["text", "lang"])
+    most, real = [0], np.unique
+    monkeypatch.setattr(np, "unique", lambda x, **k: (most.append(len(x)), real(x, **k))[1])
+    monkeypatch.setattr(language_filters, "chunks", lambda batches, at: ((b.slice(k, 1), [texts[k].encode()]) for b in batches for k in range(60)))
+    counted = pa.Table.from_batches(list(language_filters._gram_counts(iter([batch]))))
+    whole = language_filters.grams([language_filters.letters(t) for t in texts])[0]
+    values, n = real(whole, return_counts=True)
+    assert dict(zip(counted["gram"].to_pylist(), counted["n"].to_pylist())) == dict(zip(values.tolist(), n.tolist()))
+    assert max(most) < 1_100_000 < len(whole)
+
+
 def test_packing_is_an_exact_cut(spark, odd):
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
