@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from marketlens.functions.exprs import dbl, pct
 from marketlens.functions.ordering import describe
 from marketlens.operators.reporting import top_rows
+from marketlens.sources.workspace import concurrently, stored
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
@@ -68,11 +69,17 @@ def duplicates(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         per = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
         return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias(name))
 
-    out = surplus(df.columns, "exact_duplicate_rows")
-    if keys:  # two one-row frames
-        out = out.crossJoin(F.broadcast(surplus(keys, "key_duplicate_rows").drop("total_rows")))
+    if keys:
+        # Copies of a row share its key, so only rows of repeated keys are compared whole.
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        out = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("key_duplicate_rows"))
+        again = stored(per_key.filter("n > 1").select(*[F.col(k).alias(f"_again_{k}") for k in keys]), "repeated-keys")
+        match = reduce(Column.__and__, [df[k].eqNullSafe(again[f"_again_{k}"]) for k in keys])
+        rows = df.join(again, match, "left_semi").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+        exact = rows.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("exact_duplicate_rows"))
+        out = out.crossJoin(F.broadcast(exact)).select("total_rows", "exact_duplicate_rows", "key_duplicate_rows")  # two one-row frames
     else:
-        out = out.withColumn("key_duplicate_rows", F.lit(0).cast("long"))
+        out = surplus(df.columns, "exact_duplicate_rows").withColumn("key_duplicate_rows", F.lit(0).cast("long"))
     return out.withColumn("exact_duplicate_percent", pct(F.col("exact_duplicate_rows"), F.col("total_rows")))
 
 
@@ -95,7 +102,7 @@ def categorical_statistics(df: DataFrame) -> DataFrame:
     short = [F.when(F.length(c) <= LONG_TEXT, F.col(c)).alias(f"_short_{c}") for c in cols]
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_short_{c}").alias("value"), F.col(c).alias("digest")) for c in cols])
     each = df.select(*digest, *short).select(F.inline(pairs))
-    values = each.groupBy("column", "value", "digest").agg(F.count(F.lit(1)).alias("n"))
+    values = stored(each.groupBy("column", "value", "digest").agg(F.count(F.lit(1)).alias("n")), "text-values")
     v, n = F.col("value"), F.col("n")
     known = v.isNotNull() | F.col("digest").isNotNull()
     held = F.when(known, n)
@@ -107,19 +114,22 @@ def categorical_statistics(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(~known, n)), F.lit(0)).alias("null_count"),
     )
     tied = values.join(F.broadcast(most.filter("most IS NOT NULL").withColumnRenamed("column", "_column")), (F.col("column") == F.col("_column")) & (n == F.col("most")))
-    tied = tied.filter(known).select("column", "value", "digest", "most")
+    tied = stored(tied.filter(known).select("column", "value", "digest", "most"), "modes")
     short_mode = tied.groupBy("column").agg(F.min(v).alias("short"), F.max("most").alias("most"))
     out = stats.join(F.broadcast(short_mode), "column", "left")  # one row per column
     long_ties = tied.filter("digest IS NOT NULL").select(F.col("column").alias("_column"), F.col("digest").alias("_digest"))
+    searched = {r["_column"] for r in long_ties.select("_column").distinct().collect()}  # the others' modes are short
     longest = reduce(
         DataFrame.unionByName,
-        [
+        [df.sparkSession.createDataFrame([], "_c string, long string")]
+        + [
             df.select(F.lit(c).alias("_c"), F.col(c).alias("_text"))
             .filter(F.length("_text") > LONG_TEXT)
             .join(long_ties, (F.col("_c") == F.col("_column")) & (F.sha2("_text", 256) == F.col("_digest")), "left_semi")
             .groupBy("_c")
             .agg(F.min("_text").alias("long"))
             for c in cols
+            if c in searched
         ],
     )
     stats = out.join(F.broadcast(longest), F.col("column") == F.col("_c"), "left").withColumn(
@@ -158,8 +168,15 @@ def profile_report(name: str, df: DataFrame, keys: Sequence[str] = ()) -> DataFr
 
 
 def profile_batch(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """The reports of all tables. A table is written once, so its sections do not repeat the joins behind it, and
+    tables are profiled side by side."""
     keys = keys or {}
-    return reduce(DataFrame.unionByName, [profile_report(n, df, keys.get(n, ())) for n, df in tables.items()])
+
+    def one(name: str, df: DataFrame) -> DataFrame:
+        return stored(profile_report(name, stored(df, "profiled"), keys.get(name, ())), "profile")
+
+    parts = concurrently({n: (lambda n=n, df=df: one(n, df)) for n, df in tables.items()})
+    return reduce(DataFrame.unionByName, parts.values())
 
 
 # ---- data behind the charts ----------------------------------------------------------------

@@ -114,3 +114,23 @@ def test_skewness_of_tiny_samples_is_zero(spark, n):
 
     df = spark.range(n).select(F.col("id").cast("double").alias("v"))
     assert describe(df, "v").first()["skewness"] == 0.0
+
+
+def test_only_rows_of_repeated_keys_are_compared_whole(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (None, "c"), (None, "c"), (2, "a"), (3, None)]
+    df = spark.createDataFrame(rows, "k long, t string")
+    got = R.duplicates(df, ["k"]).first().asDict()
+    assert (got["total_rows"], got["exact_duplicate_rows"], got["key_duplicate_rows"]) == (7, 2, 3)
+    plain = R.duplicates(df).first().asDict()
+    assert {k: v for k, v in plain.items() if k != "key_duplicate_rows"} == {k: v for k, v in got.items() if k != "key_duplicate_rows"}
+    plan = R.duplicates(df, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+
+
+def test_a_batch_of_profiles_reads_each_table_once(spark):
+    df = spark.createDataFrame([(i, "x" * (60 + i % 9), i / 2) for i in range(50)], "k long, t string, v double")
+    got = R.profile_batch({"one": df.join(df.select("k"), "k"), "two": df}, {"one": ["k"]})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan  # all is written; nothing is left to compute
+    alone = R.profile_report("two", df)
+    assert sorted(map(tuple, got.filter("dataset = 'two'").collect())) == sorted(map(tuple, alone.collect()))
