@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -62,17 +63,26 @@ def with_vector(scaled: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=SCALED, outputCol="features").transform(scaled)
 
 
+def weighted_points(scaled: DataFrame) -> DataFrame:
+    """The distinct points with ``n``, how many rows are at each: a fit reads equal rows as one."""
+    counted = scaled.groupBy(*SCALED).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return stored(with_vector(counted).sortWithinPartitions(*SCALED), "points")
+
+
 STARTS = 10
 
 
-def fit_kmeans(vectors: DataFrame, k: int, starts: int = STARTS) -> KMeansModel:
-    """The model with the least inertia of several starts."""
+def fit_kmeans(points: DataFrame, ks: Sequence[int], starts: int = STARTS) -> dict[int, KMeansModel]:
+    """For each k the model with the least inertia of several starts.
+
+    Every running fit keeps a copy of the points in memory, so one pool holds the fits of all k.
+    """
 
-    def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=SEED + i, maxIter=100, predictionCol="cluster").fit(vectors)
+    def fit(k: int, i: int) -> KMeansModel:
+        return KMeans(k=k, seed=SEED + i, maxIter=100, predictionCol="cluster", weightCol="n").fit(points)
 
-    fits = concurrently({str(i): (lambda i=i: fit(i)) for i in range(starts)})
-    return min(fits.values(), key=lambda model: model.summary.trainingCost)
+    fits = concurrently({f"{k} {i}": (lambda k=k, i=i: fit(k, i)) for k in ks for i in range(starts)})
+    return {k: min((fits[f"{k} {i}"] for i in range(starts)), key=lambda model: model.summary.trainingCost) for k in ks}
 
 
 def cluster_quality(assigned: DataFrame) -> DataFrame:
@@ -107,15 +117,17 @@ def cluster_quality(assigned: DataFrame) -> DataFrame:
 
 def evaluate_k(scaled: DataFrame, low: int = 2, high: int = 6) -> DataFrame:
     """Cluster quality for each k. Silhouette is the squared-Euclidean one over all rows."""
-    vectors = stored(with_vector(scaled), "vectors")
+    vectors = stored(with_vector(scaled).select(*SCALED, "features"), "vectors")
+    ks = range(low, high + 1)
+    models = fit_kmeans(weighted_points(vectors.select(*SCALED)), ks)
 
     def one(k: int) -> DataFrame:
-        assigned = fit_kmeans(vectors, k).transform(vectors)
+        assigned = models[k].transform(vectors)
         silhouette = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette").evaluate(assigned)
         named = [F.lit(k).cast("long").alias("k"), F.lit(round(silhouette, 4)).alias("silhouette_score")]
         return cluster_quality(assigned).select(*named, "*")
 
-    parts = concurrently({str(k): (lambda k=k: one(k)) for k in range(low, high + 1)})
+    parts = concurrently({str(k): (lambda k=k: one(k)) for k in ks})
     return reduce(DataFrame.unionByName, parts.values())
 
 
@@ -178,7 +190,7 @@ def segment(features: DataFrame, k: int = CLUSTERS) -> Segmentation:
     """K-means with ids ordered by mean recency, then revenue, so labels are stable."""
     learnt = scaling(features)
     vectors = stored(with_vector(scaled_by(features, learnt)), "vectors")
-    model = fit_kmeans(vectors, k)
+    model = fit_kmeans(weighted_points(vectors.select(*SCALED)), [k])[k]
     assigned = stored(model.transform(vectors).drop("features"), "segments")
     order = assigned.groupBy("cluster").agg(F.avg("recency_days").alias("r"), F.avg("total_revenue").alias("m"))
     ids = order.select(

@@ -1,4 +1,5 @@
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +108,35 @@ def test_segmentation_profiles_and_stable_labels(spark):
 def test_constant_column_is_only_centred(spark, k):
     df = spark.createDataFrame([(float(i), 1, 5.0) for i in range(k)], "recency_days double, frequency_orders int, monetary_value double")
     assert {r["z_frequency"] for r in segmentation.preprocess(df).collect()} == {0.0}
+
+
+def test_fits_read_equal_rows_once_and_few_run_at_a_time(spark, monkeypatch):
+    fit, lock, now, most, rows = segmentation.KMeans.fit, threading.Lock(), [0], [0], set()
+
+    def watched(self, points):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        try:
+            rows.add(points.count())
+            return fit(self, points)
+        finally:
+            with lock:
+                now[0] -= 1
+
+    monkeypatch.setattr(segmentation.KMeans, "fit", watched)
+    rng = random.Random(3)
+    once = spark.createDataFrame([[rng.random() for _ in segmentation.SCALED] for _ in range(30)], segmentation.SCALED)
+    often = once.crossJoin(spark.range(7).select())
+    one, seven = ({r["k"]: r for r in segmentation.evaluate_k(df, 2, 4).collect()} for df in (once, often))
+    assert rows == {30} and most[0] <= 8
+    for k in (2, 3, 4):
+        assert abs(seven[k]["inertia"] - 7 * one[k]["inertia"]) < 0.05
+        assert seven[k]["davies_bouldin_index"] == one[k]["davies_bouldin_index"]
+
+
+def test_equal_rows_weigh_as_many(spark):
+    df = spark.createDataFrame([(x, 0.0, 0.0) for x in (0.0, 0.0, 0.0, 4.0, 100.0)], segmentation.SCALED)
+    model = segmentation.fit_kmeans(segmentation.weighted_points(df), [2])[2]
+    assert sorted(c[0] for c in model.clusterCenters()) == [1.0, 100.0]
+    assert model.summary.trainingCost == 12.0
