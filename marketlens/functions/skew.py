@@ -17,6 +17,9 @@ SHARE = 0.001
 BUCKETS = 4096
 CROWDED_ROWS = 200_000
 
+#: Facts that one task of a join sorts and reduces.
+ROWS_PER_TASK = 2_000_000
+
 
 def crowded_buckets(rows: DataFrame, keys: Sequence[str]) -> tuple[Column, list[int]]:
     """The bucket of a row by its keys, and the buckets that a repeated key fills; null is a key like others.
@@ -60,3 +63,16 @@ def join_by_frequency(facts: DataFrame, side: DataFrame, key: str, how: str = "i
         kinds = dict(side.dtypes)
         parts.append(facts.filter(F.col(key).isNull()).withColumns({c: F.lit(None).cast(kinds[c]) for c in columns}))
     return reduce(DataFrame.unionByName, parts)
+
+
+def dealt_by(facts: DataFrame, side: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Both by key over so many tasks that each joins some ``ROWS_PER_TASK`` facts, whatever their number.
+
+    The session's number of shuffle partitions does not grow with the facts, so its tasks would. Facts that are
+    few for it, or for the cores, are left to the planner. Counting the rows of Parquet files reads their footers.
+    """
+    spark = facts.sparkSession
+    tasks = -(-facts.count() // ROWS_PER_TASK)
+    if tasks <= min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism):
+        return facts, side
+    return facts.repartition(tasks, key), side.repartition(tasks, key)

@@ -16,6 +16,7 @@ from marketlens.functions.exprs import (
     year_month,
 )
 from marketlens.functions.ordering import ntile, rank_rows
+from marketlens.functions.skew import dealt_by
 from marketlens.sources.workspace import stored
 
 def delivered() -> Column:
@@ -182,9 +183,10 @@ def cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:
 def seller_pareto(order_items: DataFrame, sellers: DataFrame, orders: DataFrame) -> DataFrame:
     """Sellers by delivered revenue with cumulative shares; the one that crosses 80 % is long tail."""
     done = orders.filter(delivered()).select("order_id")
+    items, done = dealt_by(order_items.select("order_id", "seller_id", "price"), done, "order_id")
     # Seller and order first, so an order's items meet before the distinct count is needed.
     per_order = (
-        order_items.join(done, "order_id", "left_semi")
+        items.join(done, "order_id", "left_semi")
         .groupBy("seller_id", "order_id")
         .agg(F.sum(money("price")).alias("price"))
     )

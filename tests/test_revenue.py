@@ -1,5 +1,9 @@
 import datetime as dt
+import re
 
+from pyspark.sql import functions as F
+
+from marketlens.functions import skew
 from marketlens.operators import revenue as R
 
 
@@ -49,3 +53,31 @@ def test_seller_pareto_ties_and_zero_revenue(spark):
     zero = run([0, 0])
     assert {r["pareto_tier"] for r in zero} == {"Long-Tail Contributor"}
     assert {r["cumulative_revenue_pct"] for r in zero} == {None}
+
+
+def test_seller_pareto_tasks_grow_with_the_items(spark, monkeypatch):
+    sellers = spark.createDataFrame([(i, "SP") for i in range(7)], "seller_id long, seller_state string")
+    orders = spark.range(500).select(F.col("id").alias("order_id"), F.when(F.col("id") % 3 > 0, "delivered").otherwise("shipped").alias("order_status"))
+    # Two items of each order share a seller; some have no order.
+    items = spark.range(2000).select(
+        F.when(F.col("id") < 1900, F.col("id") % 500).alias("order_id"), (F.col("id") % 250 % 7).alias("seller_id"), (F.col("id") % 90).cast("double").alias("price")
+    )
+    plans, rank = [], R.rank_rows
+
+    def watched(rows, *rest):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return rank(rows, *rest)
+
+    monkeypatch.setattr(R, "rank_rows", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = R.seller_pareto(items, sellers, orders).collect()
+        monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+        many = R.seller_pareto(items, sellers, orders).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    numbers = [set(re.findall(r"hashpartitioning\(order_id#\d+L?, (\d+)\)", plan)) for plan in plans]
+    assert numbers == [{"4"}, {"20"}]
+    assert sorted(few) == sorted(many) and len(few) == 7
+    done = [(i % 500, i % 250 % 7) for i in range(1900) if i % 500 % 3 > 0]
+    assert {r["seller_id"]: r["total_orders_handled"] for r in many} == {s: len({o for o, t in done if t == s}) for s in range(7)}
